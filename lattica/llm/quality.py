@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,8 @@ MEASURES = (
     Measure("symbols_per_word", True, False, 0.03),
     Measure("mean_word_chars", True, True, 0.6),
     Measure("dup_line_share", True, False, 0.06),
-    Measure("repeat_share", True, False, 0.04),
+    Measure("repeat_share", True, False, 0.06),
+    Measure("echo_share", True, False, 0.02),
     Measure("bang_share", True, False, 0.02),
     Measure("upper_share", True, False, 0.03),
 )
@@ -63,7 +65,7 @@ MAX_REPEAT_PERCENT = 30
 BROADCAST_ROWS = 20_000
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-_EXTRA = ("n_lines", "n_upper", "n_bangs")
+_EXTRA = ("n_lines", "n_upper", "n_bangs", "n_echoes")
 _UPPER = bytes(range(65, 91))
 
 
@@ -99,7 +101,7 @@ def counts_of(text: bytes, n_chars: int) -> tuple[int, ...]:
     white = len(text) - len(text.translate(None, WHITE))
     symbols = len(text) - len(text.translate(None, SYMBOLS))
     upper = len(text) - len(text.translate(None, _UPPER))
-    return len(words), n_chars - white, symbols, len(rows) - len(set(rows)), repeated_words(words), len(rows), upper, text.count(b"!")
+    return len(words), n_chars - white, symbols, len(rows) - len(set(rows)), repeated_words(words), len(rows), upper, text.count(b"!"), sum(map(eq, words, words[1:]))
 
 
 def with_counts(docs: DataFrame, text: str = "text", into: str = "__q", carry: list[str] | None = None) -> DataFrame:
@@ -132,6 +134,7 @@ def measure(name: str, of: str = "__q") -> Column:
         "mean_word_chars": q["word_chars"] / words,
         "dup_line_share": q["n_dup_lines"] / F.greatest(q["n_lines"], F.lit(1.0)),
         "repeat_share": q["n_repeat_words"] / words,
+        "echo_share": q["n_echoes"] / words,
         "bang_share": q["n_bangs"] / words,
         "upper_share": q["n_upper"] / letters,
     }[name]
