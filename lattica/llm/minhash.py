@@ -11,9 +11,11 @@
 4. Verification.  Pairs are confirmed on the full shingle sets of both texts.
 5. Components of the confirmed links.
 6. The rest, exactly.  Members of a bucket that are still in different components are
-   compared pair by pair, on signatures first and then on full sets, so that no link is
-   lost.  Work is dealt out in blocks of bounded size, and only pairs across components
-   count: a large group that the stars have joined costs nothing here.
+   compared on their signatures; those that come near enough to a member of another
+   component are then compared on full sets.  Both go by blocks of bounded size, and what
+   leaves a block is a member or a link that joins two components, never a list of pairs,
+   so that rows stay in proportion to the members.  A large group that the stars have
+   joined costs nothing here.
 7. Components of all links; every document gets the smallest id of its component.
 """
 
@@ -35,6 +37,8 @@ from .components import components
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Members of a block: what a task holds for step 6 is two blocks of signatures.
 BLOCK = 2048
+#: The same on full sets.
+BLOCK_SETS = 512
 #: Documents whose sets a verification group holds, and partners that stream by them.
 FIRSTS = 128
 PARTNERS = 4096
@@ -161,6 +165,44 @@ def _exploded(reps: DataFrame, s: Settings) -> DataFrame:
     return map_batches(reps.select("id", "signature"), work, "key long, id long")
 
 
+def _sets(docs: DataFrame, ids: DataFrame, s: Settings, keep: Durable, id_col: str, text: str) -> DataFrame:
+    """__id, print, shingles (bytes of sorted uint64) of the documents in ``ids``.  Rows that
+    repeat an id and its shingles count once."""
+    ids = keep.save(ids.toDF("__id").distinct())
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    needed = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).join(ids, F.col("id") == F.col("__id"), "left_semi")
+    schema = pa.schema([("__id", pa.int64()), ("print", pa.binary()), ("shingles", pa.binary())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle = Shingler(s.width)
+        for batch in slices(batches, 128):
+            blobs = [shingle(t).tobytes() for t in texts(batch.column(1))]
+            yield record_batch(schema, [batch.column(0), [xxhash.xxh3_128_digest(x) for x in blobs], blobs])
+
+    return map_batches(needed, work, "__id long, print binary, shingles binary").groupBy("__id", "print").agg(F.first("shingles").alias("shingles"))
+
+
+class _Overlaps:
+    """Sizes of the overlap of one set with each of many."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(x) for x in sets], np.int64)
+        values = np.concatenate([*sets, np.empty(0, np.uint64)])
+        order = np.argsort(values, kind="stable")
+        self.values, self.owners = values[order], np.repeat(np.arange(len(sets)), self.sizes)[order]
+
+    def similar(self, mine: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of the sets that are similar enough, the overlaps and the unions."""
+        low, high = np.searchsorted(self.values, mine, "left"), np.searchsorted(self.values, mine, "right")
+        n = high - low
+        at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        common = np.bincount(self.owners[at], minlength=len(self.sizes))
+        total = self.sizes + len(mine) - common
+        hit = np.flatnonzero((100 * common >= percent * total) & (common > 0))
+        return hit, common[hit], total[hit]
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, s: Settings, keep: Durable, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """a, b, common, total of the pairs whose full shingle sets are similar enough.
 
@@ -178,61 +220,42 @@ def confirmed(pairs: DataFrame, docs: DataFrame, s: Settings, keep: Durable, id_
     firsts = dealt.select("label", "i", "j", F.col("a").alias("id")).distinct().withColumn("firsts", F.lit(None).cast("array<long>"))
     needs = partners.unionByName(firsts)
 
-    ids = keep.save(dealt.select(F.col("a").alias("__id")).union(dealt.select("b")).distinct())
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    needed = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).join(ids, F.col("id") == F.col("__id"), "left_semi")
-    schema = pa.schema([("__id", pa.int64()), ("print", pa.binary()), ("shingles", pa.binary())])
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler(s.width)
-        for batch in slices(batches, 128):
-            blobs = [shingle(t).tobytes() for t in texts(batch.column(1))]
-            yield record_batch(schema, [batch.column(0), [xxhash.xxh3_128_digest(x) for x in blobs], blobs])
-
-    # rows that repeat an id and its text count once
-    found = map_batches(needed, sets, "__id long, print binary, shingles binary").groupBy("__id", "print").agg(F.first("shingles").alias("shingles"))
+    found = _sets(docs, dealt.select("a").union(dealt.select("b")), s, keep, id_col, text)
     stream = needs.join(found, F.col("id") == F.col("__id")).select("label", "i", "j", "firsts", "id", "shingles", F.col("firsts").isNotNull().cast("int").alias("turn"))
     out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("common", pa.int64()), ("total", pa.int64())])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, held, owners, values = None, [], None, None
+        group, held, overlaps = None, [], None
         for batch in slices(batches, 1024):
             rows: list[tuple[int, int, int, int]] = []
             for label, i, j, near, b, blob in zip(*(c.to_pylist() for c in batch.columns[:6]), strict=True):
                 if group != (label, i, j):
-                    group, held, owners = (label, i, j), [], None
+                    group, held, overlaps = (label, i, j), [], None
                 mine = np.frombuffer(blob, np.uint64)
                 if near is None:
                     held.append((b, mine))
                     continue
-                if owners is None:
-                    values = np.concatenate([x for _, x in held])
-                    owners = np.repeat(np.arange(len(held)), [len(x) for _, x in held])
-                    order = np.argsort(values, kind="stable")
-                    values, owners = values[order], owners[order]
-                low, high = np.searchsorted(values, mine, "left"), np.searchsorted(values, mine, "right")
-                n = high - low
-                at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
-                common = np.bincount(owners[at], minlength=len(held))
+                overlaps = overlaps or _Overlaps([x for _, x in held])
                 wanted = set(near)
-                for k in np.flatnonzero(common):
-                    total = len(held[k][1]) + len(mine) - int(common[k])
-                    if 100 * int(common[k]) >= s.percent * total and held[k][0] in wanted:
-                        rows.append((held[k][0], b, int(common[k]), total))
+                rows += [(held[k][0], b, int(c), int(t)) for k, c, t in zip(*overlaps.similar(mine, s.percent)) if held[k][0] in wanted]
             yield record_batch(out, [list(c) for c in zip(*rows, strict=True)] if rows else [[], [], [], []])
 
     return keep.save(map_batches(sorted_stream(stream, ["label", "i", "j"], ["turn", "id"]), verify, "a long, b long, common long, total long"))
 
 
-def _across(members: DataFrame, s: Settings, block: int = BLOCK) -> DataFrame:
-    """label, a, b (a < b) of pairs of members of a bucket that are in different components, agree
-    on enough minima, and meet in no earlier band.  ``members``: key, n, leader, id,
-    component, signature; the leader is the label.  Pairs with the leader are out: they have been verified."""
-    parts = F.ceil(F.col("n") / block).cast("int")
-    mine = F.pmod(F.xxhash64("id"), parts).cast("int")
-    dealt = members.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))).select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "component", "leader", "signature")
-    out = pa.schema([("label", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+def _blocks(members: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """Each member of a group of ``n`` for each pair of blocks (i <= j) that its own block
+    (``mine``) is part of."""
+    parts = F.ceil(F.col("n") / size).cast("int")
+    dealt = members.withColumn("mine", F.pmod(F.xxhash64("id"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return dealt.withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other")).drop("other", "n")
+
+
+def _open_members(members: DataFrame, s: Settings) -> DataFrame:
+    """label, id, component of the members of a bucket that agree on enough minima with a
+    member of another component, other than the leader (who has been compared with all).
+    ``members``: key, n, leader, id, component, signature; the leader is the label."""
+    out = pa.schema([("label", pa.int64()), ("id", pa.int64()), ("component", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (key, i, j), rows in runs(batches, ["key", "i", "j"]):
@@ -242,31 +265,60 @@ def _across(members: DataFrame, s: Settings, block: int = BLOCK) -> DataFrame:
             minima = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint32).reshape(len(ids), s.minima)
             keys, leader = _band_keys(minima, s), rows.column("leader")[0].as_py()
             band = int(np.argmax(keys[0] == key))
-            left: list[np.ndarray] = []
-            right: list[np.ndarray] = []
-            for p in range(len(ids)):
-                # in a block of its own each pair is met once; in a pair of blocks, rows of i meet rows of j
-                if i == j:
-                    q = np.arange(p + 1, len(ids))
-                elif mine[p] == i:
-                    q = np.flatnonzero(mine == j)
-                else:
-                    continue
-                if ids[p] == leader:
-                    continue
+            near = np.zeros(len(ids), bool)
+            for p in np.flatnonzero((mine == i) & (ids != leader)):
+                q = np.arange(p + 1, len(ids)) if i == j else np.flatnonzero(mine == j)
                 q = q[(component[q] != component[p]) & (ids[q] != leader)]
                 if len(q):
                     q = q[(minima[q] == minima[p]).sum(1) >= s.least_agreement]
-                if len(q) and band:
+                if len(q) and band:  # a pair that meets in an earlier band is seen there
                     q = q[~(keys[q, :band] == keys[p, :band]).any(1)]
                 if len(q):
-                    left.append(np.minimum(ids[q], ids[p]))
-                    right.append(np.maximum(ids[q], ids[p]))
-            if left:
-                low = np.concatenate(left)
-                yield record_batch(out, [pa.array(np.full(len(low), leader)), pa.array(low), pa.array(np.concatenate(right))])
+                    near[p] = near[q] = True
+            if near.any():
+                yield record_batch(out, [pa.array(np.full(int(near.sum()), leader)), pa.array(ids[near]), pa.array(component[near])])
+
+    return map_batches(sorted_stream(_blocks(members, ["key"], BLOCK), ["key", "i", "j"], ["id"]), work, "label long, id long, component long")
+
+
+def _joining_links(members: DataFrame, docs: DataFrame, s: Settings, keep: Durable, id_col: str, text: str) -> DataFrame:
+    """Links (a, b) that join components of members with one label, found on full sets.
+
+    In a pair of blocks every link between two components that no link found there has
+    joined so far is kept, which is enough to join all that is linked.
+    """
+    members = keep.save(members.distinct())
+    counts = members.groupBy(F.col("label").alias("__label")).agg(F.count(F.lit(1)).alias("n"))
+    dealt = _blocks(members.join(counts, F.col("label") == F.col("__label")).drop("__label"), ["label"], BLOCK_SETS)
+    found = _sets(docs, members.select("id"), s, keep, id_col, text)
+    stream = sorted_stream(dealt.join(found, F.col("id") == F.col("__id")).select("label", "i", "j", "mine", "id", "component", "shingles"), ["label", "i", "j"], ["id"])
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, i, j), rows in runs(batches, ["label", "i", "j"]):
+            ids, component, mine = (rows.column(c).to_pylist() for c in ("id", "component", "mine"))
+            sets = [np.frombuffer(x, np.uint64) for x in rows.column("shingles").to_pylist()]
+            above = {c: c for c in component}
+
+            def top(c: int) -> int:
+                while above[c] != c:
+                    above[c] = c = above[above[c]]
+                return c
+
+            firsts = [p for p in range(len(ids)) if mine[p] == i]
+            overlaps, links = _Overlaps([sets[p] for p in firsts]), []
+            for q in range(len(ids)):
+                if mine[q] != j:
+                    continue
+                for k in overlaps.similar(sets[q], s.percent)[0]:
+                    x, y = top(component[firsts[k]]), top(component[q])
+                    if x != y:
+                        above[max(x, y)] = min(x, y)
+                        links.append((ids[firsts[k]], ids[q]))
+            if links:
+                yield record_batch(out, [list(c) for c in zip(*links, strict=True)])
 
-    return map_batches(sorted_stream(dealt, ["key", "i", "j"], ["id"]), work, "label long, a long, b long")
+    return keep.save(map_batches(stream, work, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, s: Settings | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -296,7 +348,7 @@ def near_duplicates(docs: DataFrame, s: Settings | None = None, id_col: str = "d
     open_keys = placed.groupBy(F.col("key").alias("__key")).agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(F.col("low") != F.col("high")).select("__key")
     signs = reps.select(F.col("id").alias("__id"), "signature")
     rest = placed.join(open_keys, F.col("key") == F.col("__key"), "left_semi").join(signs, F.col("id") == F.col("__id")).select("key", "n", "leader", "id", "component", "signature")
-    more = confirmed(_across(rest, s), docs, s, keep, id_col, text)
+    more = _joining_links(_open_members(rest, s), docs, s, keep, id_col, text)
 
     # an id that has several prints (repeated ids with other texts) is one node
     links = stars.select("a", "b").union(more.select("a", "b"))
