@@ -56,7 +56,7 @@ class Packer:
 
         Open bins wait by the room that they have left; a mask with a bit for each room
         that some bin has gives the least that is enough.  Of bins with equal room the one
-        opened last is taken.
+        that was filled last is taken.
         """
         waiting: dict[int, list[int]] = {}
         mask, used, room = 0, [], []
