@@ -211,7 +211,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, s: Settings, keep: Durable, id_
     of their partners stream by, each shipped once a group.  A label with many documents
     is dealt out over several groups by both ends.
     """
-    pairs = keep.save(pairs.select("label", "a", "b").distinct())
+    pairs = pairs.select("label", "a", "b").distinct()
     large = pairs.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("a").alias("na"), F.approx_count_distinct("b").alias("nb")).filter(F.col("n") > FIRSTS)
     large = large.select(F.col("label").alias("__label"), F.ceil(F.col("na") / FIRSTS).alias("pa"), F.ceil(F.col("nb") / PARTNERS).alias("pb"))
     part = lambda c, n: F.coalesce(F.pmod(F.xxhash64(c), F.col(n)), F.lit(0).cast("long"))
@@ -336,7 +336,7 @@ def near_duplicates(docs: DataFrame, s: Settings | None = None, id_col: str = "d
     reps = signed.filter(F.col("print").isNotNull()).groupBy("print").agg(F.min("id").alias("id"), F.first("signature").alias("signature"))
     reps = keep.save(reps)
     bands = keep.save(_exploded(reps, s))
-    lead = keep.save(bands.groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).withColumnRenamed("key", "__key"))
+    lead = bands.groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).withColumnRenamed("key", "__key")
     members = keep.save(bands.join(lead, F.col("key") == F.col("__key")).select("key", "n", "leader", "id"))
     keep.drop(bands)
 
