@@ -50,7 +50,11 @@ class Durable:
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
         self.count = 0
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def save(self, df: DataFrame, rows: int | None = None, per_task: int = 250_000) -> DataFrame:
+        """The table, written and read again.  Where ``rows`` bounds its rows, the last stage
+        has a task, and so a file, for each ``per_task`` of them: small tables are one file."""
+        if rows is not None:
+            df = df.coalesce(max(1, -(-rows // per_task)))
         path = f"{self.root}/{self.count:04d}"
         self.count += 1
         df.write.parquet(path)

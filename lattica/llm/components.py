@@ -29,7 +29,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return others.union(least.select(F.col("m").alias("a"), F.col("__u").alias("b"))).distinct()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, rows: int | None = None, rounds: int = 60) -> DataFrame:
     """node, component (smallest node reachable) for every node of the edges (a, b).
 
     Direction, repeats and loops do not matter; edges with a null end are ignored; no
@@ -37,7 +37,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """
     keep = Durable(edges.sparkSession, "components")
     low, high = F.least("a", "b"), F.greatest("a", "b")
-    now = keep.save(edges.filter(F.col("a") != F.col("b")).select(low.alias("a"), high.alias("b")).distinct())
+    now = keep.save(edges.filter(F.col("a") != F.col("b")).select(low.alias("a"), high.alias("b")).distinct(), edges.count() if rows is None else rows)
 
     def mark(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
@@ -46,7 +46,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         if not seen[0]:
             break
-        after = keep.save(_small_star(_large_star(now)))
+        after = keep.save(_small_star(_large_star(now)), seen[0])  # a round adds no edge
         keep.drop(now)
         now, last, seen = after, seen, mark(after)
         if seen == last:

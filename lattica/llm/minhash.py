@@ -132,45 +132,38 @@ def _band_keys(minima: np.ndarray, s: Settings) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, s: Settings, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, n_shingles, print (null without words), signature (bytes of uint32 minima) per row."""
-    schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("print", pa.binary()), ("signature", pa.binary())])
+    """id, n_shingles, print, keys, signature, one row per row; without words the last three
+    are null.  The keys are those of the bands; the signature has the low byte of each
+    minimum: equal minima have equal bytes, others have them by a chance of 1 in 256."""
+    schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("print", pa.binary()), ("keys", pa.list_(pa.int64())), ("signature", pa.binary())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, (a, b) = Shingler(s.width), s.hashes()
         for batch in slices(batches, 128):
             sets = [shingle(t) for t in texts(batch.column(1))]
             full = [i for i, x in enumerate(sets) if len(x)]
+            keys: list[np.ndarray | None] = [None] * len(sets)
             signs: list[bytes | None] = [None] * len(sets)
             if full:
                 lengths = np.array([len(sets[i]) for i in full])
                 found = _minima(np.concatenate([sets[i] for i in full]), np.concatenate([[0], np.cumsum(lengths)[:-1]]), a, b)
-                for i, row in zip(full, found, strict=True):
-                    signs[i] = row.tobytes()
+                for i, own, row in zip(full, _band_keys(found, s), found.astype(np.uint8), strict=True):
+                    keys[i], signs[i] = own, row.tobytes()
             prints = [xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets]
-            yield record_batch(schema, [batch.column(0), [len(x) for x in sets], prints, signs])
+            yield record_batch(schema, [batch.column(0), [len(x) for x in sets], prints, keys, signs])
 
-    return map_batches(docs.select(F.col(id_col).cast("long"), F.col(text)), work, "id long, n_shingles long, print binary, signature binary")
+    return map_batches(docs.select(F.col(id_col).cast("long"), F.col(text)), work, "id long, n_shingles long, print binary, keys array<long>, signature binary")
 
 
-def _exploded(reps: DataFrame, s: Settings) -> DataFrame:
-    """key, id: one row per representative and band."""
-    schema = pa.schema([("key", pa.int64()), ("id", pa.int64())])
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 4096):
-            keys = _band_keys(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(batch.num_rows, s.minima), s)
-            ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), s.bands)
-            yield record_batch(schema, [pa.array(keys.ravel()), pa.array(ids)])
-
-    return map_batches(reps.select("id", "signature"), work, "key long, id long")
+def _few(ids: DataFrame) -> DataFrame:
+    """The ids of a durable table, broadcast if there are not too many."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def _sets(docs: DataFrame, ids: DataFrame, s: Settings, keep: Durable, id_col: str, text: str) -> DataFrame:
+def _sets(docs: DataFrame, ids: DataFrame, rows: int, s: Settings, keep: Durable, id_col: str, text: str) -> DataFrame:
     """__id, print, shingles (bytes of sorted uint64) of the documents in ``ids``.  Rows that
     repeat an id and its shingles count once."""
-    ids = keep.save(ids.toDF("__id").distinct())
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    ids = _few(keep.save(ids.toDF("__id").distinct(), rows))
     needed = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).join(ids, F.col("id") == F.col("__id"), "left_semi")
     schema = pa.schema([("__id", pa.int64()), ("print", pa.binary()), ("shingles", pa.binary())])
 
@@ -203,10 +196,10 @@ class _Overlaps:
         return hit, common[hit], total[hit]
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, s: Settings, keep: Durable, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def confirmed(pairs: DataFrame, rows: int, docs: DataFrame, s: Settings, keep: Durable, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """a, b, common, total of the pairs whose full shingle sets are similar enough.
 
-    ``pairs``: label, a, b.  Pairs of a label share documents, so they are verified
+    ``pairs``: label, a, b; ``rows`` bounds their number.  Pairs of a label share documents, so they are verified
     together: a group holds the sets of at most about FIRSTS first documents, and the sets
     of their partners stream by, each shipped once a group.  A label with many documents
     is dealt out over several groups by both ends.
@@ -215,12 +208,13 @@ def confirmed(pairs: DataFrame, docs: DataFrame, s: Settings, keep: Durable, id_
     large = pairs.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("a").alias("na"), F.approx_count_distinct("b").alias("nb")).filter(F.col("n") > FIRSTS)
     large = large.select(F.col("label").alias("__label"), F.ceil(F.col("na") / FIRSTS).alias("pa"), F.ceil(F.col("nb") / PARTNERS).alias("pb"))
     part = lambda c, n: F.coalesce(F.pmod(F.xxhash64(c), F.col(n)), F.lit(0).cast("long"))
-    dealt = keep.save(pairs.join(large, F.col("label") == F.col("__label"), "left").select("label", part("a", "pa").alias("i"), part("b", "pb").alias("j"), "a", "b"))
+    dealt = keep.save(pairs.join(large, F.col("label") == F.col("__label"), "left").select("label", part("a", "pa").alias("i"), part("b", "pb").alias("j"), "a", "b"), rows)
+    rows = dealt.count()
     partners = dealt.groupBy("label", "i", "j", F.col("b").alias("id")).agg(F.collect_list("a").alias("firsts"))
     firsts = dealt.select("label", "i", "j", F.col("a").alias("id")).distinct().withColumn("firsts", F.lit(None).cast("array<long>"))
     needs = partners.unionByName(firsts)
 
-    found = _sets(docs, dealt.select("a").union(dealt.select("b")), s, keep, id_col, text)
+    found = _sets(docs, dealt.select("a").union(dealt.select("b")), 2 * rows, s, keep, id_col, text)
     stream = needs.join(found, F.col("id") == F.col("__id")).select("label", "i", "j", "firsts", "id", "shingles", F.col("firsts").isNotNull().cast("int").alias("turn"))
     out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("common", pa.int64()), ("total", pa.int64())])
 
@@ -240,7 +234,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, s: Settings, keep: Durable, id_
                 rows += [(held[k][0], b, int(c), int(t)) for k, c, t in zip(*overlaps.similar(mine, s.percent)) if held[k][0] in wanted]
             yield record_batch(out, [list(c) for c in zip(*rows, strict=True)] if rows else [[], [], [], []])
 
-    return keep.save(map_batches(sorted_stream(stream, ["label", "i", "j"], ["turn", "id"]), verify, "a long, b long, common long, total long"))
+    return keep.save(map_batches(sorted_stream(stream, ["label", "i", "j"], ["turn", "id"]), verify, "a long, b long, common long, total long"), rows, per_task=5_000)
 
 
 def _blocks(members: DataFrame, keys: list[str], size: int) -> DataFrame:
@@ -262,8 +256,9 @@ def _open_members(members: DataFrame, s: Settings) -> DataFrame:
             ids, component, mine = (rows.column(c).to_numpy() for c in ("id", "component", "mine"))
             if (component == component[0]).all():
                 continue
-            minima = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint32).reshape(len(ids), s.minima)
-            keys, leader = _band_keys(minima, s), rows.column("leader")[0].as_py()
+            minima = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(len(ids), s.minima)
+            keys = rows.column("keys").combine_chunks().flatten().to_numpy().reshape(len(ids), s.bands)
+            leader = rows.column("leader")[0].as_py()
             band = int(np.argmax(keys[0] == key))
             near = np.zeros(len(ids), bool)
             for p in np.flatnonzero((mine == i) & (ids != leader)):
@@ -281,16 +276,18 @@ def _open_members(members: DataFrame, s: Settings) -> DataFrame:
     return map_batches(sorted_stream(_blocks(members, ["key"], BLOCK), ["key", "i", "j"], ["id"]), work, "label long, id long, component long")
 
 
-def _joining_links(members: DataFrame, docs: DataFrame, s: Settings, keep: Durable, id_col: str, text: str) -> DataFrame:
+def _joining_links(members: DataFrame, rows: int, docs: DataFrame, s: Settings, keep: Durable, id_col: str, text: str) -> DataFrame:
     """Links (a, b) that join components of members with one label, found on full sets.
 
     In a pair of blocks every link between two components that no link found there has
-    joined so far is kept, which is enough to join all that is linked.
+    joined so far is kept, which is enough to join all that is linked.  ``rows`` bounds the
+    number of members.
     """
-    members = keep.save(members.distinct())
+    members = keep.save(members.distinct(), rows, per_task=20_000)
+    rows = members.count()
     counts = members.groupBy(F.col("label").alias("__label")).agg(F.count(F.lit(1)).alias("n"))
     dealt = _blocks(members.join(counts, F.col("label") == F.col("__label")).drop("__label"), ["label"], BLOCK_SETS)
-    found = _sets(docs, members.select("id"), s, keep, id_col, text)
+    found = _sets(docs, members.select("id"), rows, s, keep, id_col, text)
     stream = sorted_stream(dealt.join(found, F.col("id") == F.col("__id")).select("label", "i", "j", "mine", "id", "component", "shingles"), ["label", "i", "j"], ["id"])
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -318,7 +315,7 @@ def _joining_links(members: DataFrame, docs: DataFrame, s: Settings, keep: Durab
             if links:
                 yield record_batch(out, [list(c) for c in zip(*links, strict=True)])
 
-    return keep.save(map_batches(stream, work, "a long, b long"))
+    return keep.save(map_batches(stream, work, "a long, b long"), rows, per_task=5_000)
 
 
 def near_duplicates(docs: DataFrame, s: Settings | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -333,27 +330,28 @@ def near_duplicates(docs: DataFrame, s: Settings | None = None, id_col: str = "d
     keep = Durable(docs.sparkSession, "minhash")
     docs = docs.filter(F.col(id_col).isNotNull())
     signed = keep.save(signatures(docs, s, id_col, text))
-    reps = signed.filter(F.col("print").isNotNull()).groupBy("print").agg(F.min("id").alias("id"), F.first("signature").alias("signature"))
-    reps = keep.save(reps)
-    bands = keep.save(_exploded(reps, s))
+    n = signed.count()
+    reps = signed.filter(F.col("print").isNotNull()).groupBy("print").agg(F.min("id").alias("id"), F.first("keys").alias("keys"), F.first("signature").alias("signature"))
+    reps = keep.save(reps, n, per_task=50_000)
+    bands = reps.select(F.explode("keys").alias("key"), "id")
     lead = bands.groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).withColumnRenamed("key", "__key")
-    members = keep.save(bands.join(lead, F.col("key") == F.col("__key")).select("key", "n", "leader", "id"))
-    keep.drop(bands)
+    members = keep.save(bands.join(lead, F.col("key") == F.col("__key")).select("key", "n", "leader", "id"), n * s.bands)
+    rows = members.count()
 
-    stars = confirmed(members.filter(F.col("id") != F.col("leader")).select(F.col("leader").alias("label"), F.col("leader").alias("a"), F.col("id").alias("b")), docs, s, keep, id_col, text)
+    stars = confirmed(members.filter(F.col("id") != F.col("leader")).select(F.col("leader").alias("label"), F.col("leader").alias("a"), F.col("id").alias("b")), rows, docs, s, keep, id_col, text)
     first = components(stars)
 
     placed = members.filter(F.col("n") > 2).join(first, F.col("id") == F.col("node"), "left").select("key", "n", "leader", "id", F.coalesce("component", "id").alias("component"))
-    placed = keep.save(placed)
+    placed = keep.save(placed, rows)
     open_keys = placed.groupBy(F.col("key").alias("__key")).agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(F.col("low") != F.col("high")).select("__key")
-    signs = reps.select(F.col("id").alias("__id"), "signature")
-    rest = placed.join(open_keys, F.col("key") == F.col("__key"), "left_semi").join(signs, F.col("id") == F.col("__id")).select("key", "n", "leader", "id", "component", "signature")
-    more = _joining_links(_open_members(rest, s), docs, s, keep, id_col, text)
+    signs = reps.select(F.col("id").alias("__id"), "keys", "signature")
+    rest = placed.join(open_keys, F.col("key") == F.col("__key"), "left_semi").join(signs, F.col("id") == F.col("__id")).select("key", "n", "leader", "id", "component", "keys", "signature")
+    more = _joining_links(_open_members(rest, s), rows, docs, s, keep, id_col, text)
 
     # an id that has several prints (repeated ids with other texts) is one node
     links = stars.select("a", "b").union(more.select("a", "b"))
     copies = signed.join(reps.select(F.col("print").alias("__print"), F.col("id").alias("rep")), F.col("print") == F.col("__print"), "left").select("id", "n_shingles", F.coalesce("rep", "id").alias("rep"))
-    copies = keep.save(copies)
+    copies = keep.save(copies, n)
     twice = copies.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.count(F.lit(1)).alias("n")).filter(F.col("a") != F.col("b"))
     final = components(links.union(copies.join(twice.select(F.col("id").alias("__id")), F.col("id") == F.col("__id"), "left_semi").select(F.col("rep").alias("a"), F.col("id").alias("b"))))
     return copies.join(final, F.col("rep") == F.col("node"), "left").select("id", "n_shingles", F.coalesce("component", "rep").alias("component"))
@@ -363,14 +361,16 @@ def keep_first(docs: DataFrame, s: Settings | None = None, id_col: str = "doc_id
     """``docs`` with one document of each group: that with the smallest id.
 
     Rows with a null id stay: no group can hold them.  Of rows that repeat an id, one
-    stays.
+    stays.  The ids that go are broadcast if there are not too many; only beyond that are
+    texts shuffled.
     """
     keep = Durable(docs.sparkSession, "keepfirst")
-    found = near_duplicates(docs, s, id_col, text).filter(F.col("id") == F.col("component"))
-    first = keep.save(found.groupBy("id").agg(F.count(F.lit(1)).alias("n")))
-    kept = docs.join(first.select(F.col("id").alias("__id")), F.col(id_col) == F.col("__id"), "left_semi")
-    again = first.filter(F.col("n") > 1).select(F.col("id").alias("__id"))
+    found = near_duplicates(docs, s, id_col, text).groupBy("id").agg(F.min("component").alias("component"), F.count(F.lit(1)).alias("n")).filter((F.col("id") != F.col("component")) | (F.col("n") > 1))
+    found = keep.save(found)
+    gone = keep.save(found.filter(F.col("id") != F.col("component")).select(F.col("id").alias("__id")), found.count())
+    kept = docs.join(_few(gone), F.col(id_col) == F.col("__id"), "left_anti")
+    again = found.filter(F.col("id") == F.col("component")).select(F.col("id").alias("__id"))
     if not again.isEmpty():
         once = kept.join(again, F.col(id_col) == F.col("__id"), "left_semi").dropDuplicates([id_col])
         kept = kept.join(again, F.col(id_col) == F.col("__id"), "left_anti").unionByName(once)
-    return kept.unionByName(docs.filter(F.col(id_col).isNull()))
+    return kept
