@@ -19,11 +19,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import BadQuery, MissingArgument, NotSupported, UnknownArgument
+from ..errors import BadQuery, MissingArgument, NotSupported, ResponseMismatch, UnknownArgument
 from ..functions.documents import literal, quoted, resolve, test
 from ..plans.graph import Tree
 from ..sources.catalog import Catalog
-from ..types import from_spark, to_json
+from ..types import Type, from_spark, to_json
 
 SET = "__set"
 
@@ -61,11 +61,15 @@ class GraphCompiler:
     # -- requests -------------------------------------------------------------------------------
 
     def request(self, tree: Tree) -> Results:
-        df = self.catalog.open(tree["collection"], self.arguments(tree.get("arguments")))
         query, keys = tree["query"], []
-        if self.sets is not None:
-            df, query = self._with_variables(df, query)
-            keys = [SET]
+        if self.sets is None:
+            df = self.catalog.open(tree["collection"], self.arguments(tree.get("arguments")))
+        else:
+            keys, parts = [SET], []
+            for given, ordinals in self._argument_sets(tree.get("arguments")):
+                part, own = self._with_variables(self.catalog.open(tree["collection"], given), query, ordinals)
+                parts.append(part)
+            df, query = reduce(DataFrame.unionByName, parts), own
         df = self.row_set(df, query, keys)
         out = Results(sets=None if self.sets is None else len(self.sets))
         has = {n: bool(query.get(n)) for n in ("fields", "aggregates")} | {"groups": query.get("groups") is not None}
@@ -92,7 +96,17 @@ class GraphCompiler:
                 out[name] = a
         return out
 
-    def _with_variables(self, df: DataFrame, query: Tree) -> tuple[DataFrame, Tree]:
+    def _argument_sets(self, given: Mapping[str, Any] | None) -> list[tuple[dict[str, Any], list[int]]]:
+        """The arguments of a view for the sets of variables, each with the sets that have
+        them; without variables in them, one for all sets."""
+        found: dict[str, tuple[dict[str, Any], list[int]]] = {}
+        for i, s in enumerate(self.sets or ()):
+            own = {n: {"type": "literal", "value": s.get(a["name"])} if isinstance(a, Mapping) and a.get("type") == "variable" else a for n, a in (given or {}).items()}
+            plain = self.arguments(own)
+            found.setdefault(repr(sorted(plain.items())), (plain, []))[1].append(i)
+        return list(found.values()) or [(self.arguments(given), [])]
+
+    def _with_variables(self, df: DataFrame, query: Tree, ordinals: Sequence[int]) -> tuple[DataFrame, Tree]:
         """Rows met with each set of variables: one column per variable that is used, and an
         ordinal.  The sets come with the request, so they are few and are broadcast; equalities
         with variables become the condition of a hash join."""
@@ -104,7 +118,7 @@ class GraphCompiler:
         samples = [[s[n] for n in used] for s in sets]
         kinds = [_type_of([row[i] for row in samples]) for i in range(len(used))]
         schema = T.StructType([T.StructField(SET, T.IntegerType(), False), *[T.StructField(f"__var_{n}", k) for n, k in zip(used, kinds, strict=True)]])
-        own = self.catalog.spark.createDataFrame([(i, *row) for i, row in enumerate(samples)], schema)
+        own = self.catalog.spark.createDataFrame([(i, *samples[i]) for i in ordinals], schema)
         equal, rest = [], []
         for p in _conjuncts(query.get("predicate")):
             simple = p["type"] == "binary_comparison_operator" and p["operator"] == "_eq" and p["value"]["type"] == "variable"
@@ -564,26 +578,37 @@ def compile_request(tree: Tree, catalog: Catalog) -> Results:
     return GraphCompiler(catalog, tree.get("collection_relationships"), tree.get("variables")).request(tree)
 
 
-def execute_request(tree: Tree, catalog: Catalog) -> list[Tree]:
+def execute_request(tree: Tree, catalog: Catalog, declared: Mapping[str, Type] | None = None, on_mismatch: str = "fail") -> list[Tree]:
     """Row sets as JSON values, one per set of variables, or one.  For results that fit the
-    driver; larger ones are read from compile_request()."""
+    driver; larger ones are read from compile_request().
+
+    ``declared`` gives types of row fields that differ from those of the plan; a row whose
+    value does not have its type is an error, or is left out ("skipRow"), which changes no
+    aggregate.
+    """
     found = compile_request(tree, catalog)
     out: list[Tree] = [{} for _ in range(1 if found.sets is None else found.sets)]
     keys = 0 if found.sets is None else 1
 
-    def put(df: DataFrame | None, add) -> None:
+    def put(df: DataFrame | None, add, types: Mapping[str, Type] | None = None) -> None:
         if df is None:
             return
         objects: dict = {}
         top = from_spark(df.schema, "row", objects, nullable=False)
+        objects["row"].fields.update(types or {})
         for row in df.collect():
-            value = to_json(row.asDict(), top, objects)
+            try:
+                value = to_json(row.asDict(), top, objects)
+            except ResponseMismatch:
+                if on_mismatch != "skipRow":
+                    raise
+                continue
             add(out[value.pop(SET) if keys else 0], value)
 
     if found.rows is not None:
         for o in out:
             o["rows"] = []
-        put(found.rows, lambda o, v: o["rows"].append(v))
+        put(found.rows, lambda o, v: o["rows"].append(v), declared)
     put(found.aggregates, lambda o, v: o.update(aggregates=v))
     if found.groups is not None:
         for o in out:

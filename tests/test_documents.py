@@ -249,3 +249,18 @@ def test_conditions_reach_the_scan(spark, sf_dir):
     view = Pipeline(c).run([{"$match": {"o_totalprice": {"$lt": 5.0}, "o_orderstatus": "F"}}], c.open("orders"))
     text = view._jdf.queryExecution().explainString(view._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert "LessThan(o_totalprice,5.0)" in text and "EqualTo(o_orderstatus,F)" in text
+
+
+def test_view_arguments_from_variables(spark, catalog):
+    catalog.add_view(pipeline_view("from_x", [{"$match": {"x": {"$gte": "{{ v }}"}}}], {"v": T.DoubleType()}, "numbers"))
+    q = G.query(fields={"i": G.field("_id")}, aggregates={"n": G.star_count()}, order_by=[G.order("_id")])
+    out = ask(catalog, "from_x", q, arguments={"v": G.variable("least")}, variables=[{"least": 2.0}, {"least": 1.0}, {"least": 9.0}, {"least": 2.0}])
+    assert [[r["i"] for r in o["rows"]] for o in out] == [[3], [1, 3], [], [3]] and [o["aggregates"]["n"] for o in out] == ["1", "2", "0", "1"]
+
+
+def test_rows_that_do_not_match_their_type(catalog):
+    request = G.request("numbers", G.query(fields={"x": G.field("x")}, aggregates={"n": G.star_count()}))
+    with pytest.raises(E.ResponseMismatch):
+        execute_request(request, catalog, {"x": Scalar("double")})
+    (out,) = execute_request(request, catalog, {"x": Scalar("double")}, on_mismatch="skipRow")
+    assert len(out["rows"]) == 2 and out["aggregates"] == {"n": "3"}
