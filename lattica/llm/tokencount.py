@@ -29,7 +29,7 @@ from .common import map_batches, record_batch, slices, strings
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Nodes and pre-tokens that a task keeps before it starts a new trie.
 KEPT_NODES = 400_000
-KEPT_CHUNKS = 200_000
+KEPT_CHUNKS = 300_000
 
 #: Fixed value: the pre-token pattern of the public byte-level vocabularies.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -48,12 +48,21 @@ def zipf_scores(ranks: dict[bytes, int]) -> dict[bytes, float]:
     return {p: -math.log(r + 1) - whole for p, r in ranks.items()}
 
 
+def piece_endings(scores: dict[bytes, float]) -> dict[bytes, float | None]:
+    """Every ending of a piece, with the piece's score if it is a piece itself.  What is not
+    here ends no piece, however far it is extended to the left."""
+    out: dict[bytes, float | None] = {}
+    for piece in scores:
+        for i in range(len(piece) - 1, -1, -1):
+            out.setdefault(piece[i:], None)
+    return out | scores
+
+
 class Trie:
     """Prefixes of the pre-tokens seen so far, with forward scores and piece counts."""
 
     def __init__(self, scores: dict[bytes, float], kept_nodes: int = KEPT_NODES):
-        self.scores, self.kept = scores, kept_nodes
-        self.longest = max(map(len, scores), default=1)
+        self.endings, self.kept = piece_endings(scores), kept_nodes
         self.clear()
 
     def clear(self) -> None:
@@ -62,22 +71,24 @@ class Trie:
 
     def count(self, token: bytes) -> int:
         """Pieces of ``token``; makes the nodes of its path that are missing."""
-        child, best, pieces, scores = self.child, self.best, self.pieces, self.scores
-        if len(best) > self.kept:
+        if len(self.best) > self.kept:
             self.clear()
-            child, best, pieces = self.child, self.best, self.pieces
+        child, best, pieces, endings = self.child, self.best, self.pieces, self.endings
         path, node = [0], 0
         for end, byte in enumerate(token, 1):
             known = child.get(node * 256 + byte)
             if known is None:
-                top, fewest = -math.inf, 0
-                for start in range(max(0, end - self.longest), end):
-                    score = scores.get(token[start:end])
+                top, fewest, start = -math.inf, 0, end - 1
+                while start >= 0:
+                    score = endings.get(token[start:end], 1.0)
                     if score is not None:
+                        if score > 0:  # no piece ends like this
+                            break
                         above = path[start]
-                        total, n = best[above] + score, pieces[above] + 1
-                        if total > top or total == top and n < fewest:
-                            top, fewest = total, n
+                        total = best[above] + score
+                        if total > top or total == top and pieces[above] + 1 < fewest:
+                            top, fewest = total, pieces[above] + 1
+                    start -= 1
                 known = child[node * 256 + byte] = len(best)
                 best.append(top)
                 pieces.append(fewest)
@@ -92,11 +103,14 @@ class Counter:
     def __init__(self, scores: dict[bytes, float]):
         self.trie = Trie(scores)
         self.pattern, self.chunks = regex.compile(PATTERN), regex.compile(CHUNKS)
-        self.known: dict[str, tuple[int, int]] = {}
+        self.known: dict[str, int] = {}
 
-    def _chunk(self, chunk: str) -> tuple[int, int]:
+    def _chunk(self, chunk: str) -> int:
+        """Pre-tokens of a chunk times 2 ** 32, plus its tokens."""
+        if chunk.isalpha() or chunk[0] == " " and chunk[1:].isalpha():  # one pre-token
+            return (1 << 32) + self.trie.count(chunk.encode())
         found = self.pattern.findall(chunk)
-        return len(found), sum(self.trie.count(t.encode()) for t in found)
+        return (len(found) << 32) + sum(self.trie.count(t.encode()) for t in found)
 
     def __call__(self, text: str) -> tuple[int, int]:
         known = self.known
@@ -105,8 +119,7 @@ class Counter:
         chunks = self.chunks.findall(text)
         for c in set(chunks).difference(known):
             known[c] = self._chunk(c)
-        pairs = [known[c] for c in chunks]
-        return sum(a for a, _ in pairs), sum(b for _, b in pairs)
+        return divmod(sum(map(known.__getitem__, chunks)), 1 << 32)
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
