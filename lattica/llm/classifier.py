@@ -28,10 +28,10 @@ from .common import map_batches, record_batch, slices, texts
 
 WIDTH, FILTERS, CHUNK = 6, 8, 256
 #: Bound of the sample that the model is fitted on: rows of each label, bytes, bytes a text.
-MAX_ROWS = 1200
-MAX_BYTES = 12 << 20
+MAX_ROWS = 2000
+MAX_BYTES = 16 << 20
 MAX_TEXT = 1 << 18
-EPOCHS, BATCH, RATE, SEED = 10, 32, 0.03, 11
+EPOCHS, BATCH, RATE, SEED = 12, 32, 0.03, 11
 #: Scores from this on are predicted as label 1.
 THRESHOLD = 0.3
 #: Chunks that are looked up at a time.
