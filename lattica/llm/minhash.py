@@ -332,7 +332,7 @@ def near_duplicates(docs: DataFrame, s: Settings | None = None, id_col: str = "d
     signed = keep.save(signatures(docs, s, id_col, text))
     n = signed.count()
     reps = signed.filter(F.col("print").isNotNull()).groupBy("print").agg(F.min("id").alias("id"), F.first("keys").alias("keys"), F.first("signature").alias("signature"))
-    reps = keep.save(reps, n, per_task=50_000)
+    reps = keep.save(reps, n, per_task=20_000)
     bands = reps.select(F.explode("keys").alias("key"), "id")
     lead = bands.groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).withColumnRenamed("key", "__key")
     members = keep.save(bands.join(lead, F.col("key") == F.col("__key")).select("key", "n", "leader", "id"), n * s.bands)
