@@ -49,6 +49,7 @@ class Durable:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
         self.count = 0
+        self.saved: list[DataFrame] = []
 
     def save(self, df: DataFrame, rows: int | None = None, per_task: int = 250_000) -> DataFrame:
         """The table, written and read again.  Where ``rows`` bounds its rows, the last stage
@@ -60,8 +61,16 @@ class Durable:
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._lattica_path = path
+        self.saved.append(out)
         return out
 
+    def keep_only(self, *kept: DataFrame) -> None:
+        """Drops all tables saved so far but these, once nothing lazy reads them."""
+        for df in self.saved:
+            if all(df is not k for k in kept):
+                self.drop(df)
+        self.saved = list(kept)
+
     def drop(self, df: DataFrame) -> None:
         path = getattr(df, "_lattica_path", None)
         if path:

@@ -354,6 +354,7 @@ def near_duplicates(docs: DataFrame, s: Settings | None = None, id_col: str = "d
     copies = keep.save(copies, n)
     twice = copies.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.count(F.lit(1)).alias("n")).filter(F.col("a") != F.col("b"))
     final = components(links.union(copies.join(twice.select(F.col("id").alias("__id")), F.col("id") == F.col("__id"), "left_semi").select(F.col("rep").alias("a"), F.col("id").alias("b"))))
+    keep.keep_only(copies)  # all else has been read
     return copies.join(final, F.col("rep") == F.col("node"), "left").select("id", "n_shingles", F.coalesce("component", "rep").alias("component"))
 
 

@@ -183,13 +183,14 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
     # to write them out in between.
     found = keep.save(sketches(with_counts(docs, text, into, [lang, source]), lang, source, into))
     measured = with_counts(docs, text, into, list(dict.fromkeys([*kept, lang, source])))
-    limits = keep.save(fences(found).withColumnsRenamed({"lang": "__lang", "source": "__source", "n": "__n"}), found.count())
+    limits = fences(found)
+    limits = keep.save(limits.toDF(*[f"__{c}" for c in limits.columns]), found.count())
     few = limits.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     joined = measured.join(F.broadcast(limits) if few else limits, F.col(lang).eqNullSafe(F.col("__lang")) & F.col(source).eqNullSafe(F.col("__source")), "left")
     inside = F.lit(True)
     for m in MEASURES:
         value = measure(m.name, into)
-        inside = inside & F.coalesce((value >= F.col(f"{m.name}_low")) & (value <= F.col(f"{m.name}_high")), F.lit(True))
+        inside = inside & F.coalesce((value >= F.col(f"__{m.name}_low")) & (value <= F.col(f"__{m.name}_high")), F.lit(True))
     return joined.select(*[F.col(c) for c in kept], into, (~base_failed(into) & inside).alias(verdict))
 
 
