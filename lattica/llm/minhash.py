@@ -234,7 +234,7 @@ def confirmed(pairs: DataFrame, rows: int, docs: DataFrame, s: Settings, keep: D
                 rows += [(held[k][0], b, int(c), int(t)) for k, c, t in zip(*overlaps.similar(mine, s.percent)) if held[k][0] in wanted]
             yield record_batch(out, [list(c) for c in zip(*rows, strict=True)] if rows else [[], [], [], []])
 
-    return keep.save(map_batches(sorted_stream(stream, ["label", "i", "j"], ["turn", "id"]), verify, "a long, b long, common long, total long"), rows, per_task=5_000)
+    return keep.save(map_batches(sorted_stream(stream, ["label", "i", "j"], ["turn", "id"]), verify, "a long, b long, common long, total long"), rows, per_task=2_000)
 
 
 def _blocks(members: DataFrame, keys: list[str], size: int) -> DataFrame:
@@ -315,7 +315,7 @@ def _joining_links(members: DataFrame, rows: int, docs: DataFrame, s: Settings,
             if links:
                 yield record_batch(out, [list(c) for c in zip(*links, strict=True)])
 
-    return keep.save(map_batches(stream, work, "a long, b long"), rows, per_task=5_000)
+    return keep.save(map_batches(stream, work, "a long, b long"), rows, per_task=2_000)
 
 
 def near_duplicates(docs: DataFrame, s: Settings | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
