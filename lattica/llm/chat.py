@@ -5,10 +5,12 @@ encoded separately and the reserved ids are spliced in, so no text can produce o
 rendered form writes reserved ids as control strings; where a text holds a control string
 itself, a backslash after its "<" keeps the two apart, and reading back takes it out.
 
-Turns are encoded where they lie.  Then they are dealt out by conversation and ordered,
-and one pass gives each its place by prefix sums of lengths: the loss mask is the prefix
-sum of +1 where an assistant text begins and -1 where it ends.  The pass holds one batch
-and a few numbers, so a conversation of any length passes through.
+Turns are encoded where they lie.  The loss mask of a turn is the prefix sum of +1 where
+an assistant text begins and -1 where it ends.  Places in the conversation are prefix sums
+of lengths: turns are dealt out by ranges of (conversation, turn), so that a long
+conversation lies in many parts; each part adds up its own, and what the parts before hold
+of a conversation is added to it.  No part has to hold a conversation, and none waits for
+another.
 """
 
 from __future__ import annotations
@@ -19,10 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches, record_batch, slices, sorted_stream, strings
+from .common import Durable, map_batches, record_batch, slices, sorted_stream, strings
 from .tokencount import PATTERN, VOCABULARY, read_vocabulary
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -80,20 +83,18 @@ class Turns:
         return [self.start, *head, *body, self.end, *self.feed], begin, begin + learn
 
 
-FORMATTED = "conv_id long, seq long, turn long, ids array<int>, mask binary, token_start long, token_end long"
-
-
-def format_conversations(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", vocabulary: str = VOCABULARY, learned: str = LEARNED) -> DataFrame:
+def format_conversations(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", vocabulary: str = VOCABULARY, learned: str = LEARNED, parts: int | None = None) -> DataFrame:
     """One row per turn: conv_id, seq (from 0), turn, ids, mask (a byte per id, 1 where
     the loss counts), token_start and token_end in the conversation.
 
     Turns are in order of ``turn``; of equal ones, of role and then of text; a null turn
     comes first.  Null texts and roles are empty, a null conversation is one of its own,
-    repeated rows are turns of their own.  Rows of a conversation lie together in order.
+    repeated rows are turns of their own.  ``parts`` is the number of ranges (that of
+    shuffle partitions if None).
     """
-    sc = rows.sparkSession.sparkContext
-    ranks = sc.broadcast(read_vocabulary(vocabulary))  # the vocabulary file: fixed size
-    encoded = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("tie", pa.binary()), ("ids", pa.list_(pa.int32())), ("begin", pa.int64()), ("until", pa.int64())])
+    keep = Durable(rows.sparkSession, "chat")
+    ranks = rows.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))  # the vocabulary file: fixed size
+    encoded = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("tie", pa.binary()), ("ids", pa.list_(pa.int32())), ("mask", pa.binary())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turns = Turns(ranks.value, learned)
@@ -101,34 +102,43 @@ def format_conversations(rows: DataFrame, conv: str = "conv_id", turn: str = "tu
             roles, bodies = strings(batch.column(2)), strings(batch.column(3))
             found = [turns(r, t) for r, t in zip(roles, bodies, strict=True)]
             ties = [hashlib.sha256(t.encode()).digest()[:12] for t in bodies]
-            yield record_batch(encoded, [batch.column(0), batch.column(1), roles, ties, [x[0] for x in found], [x[1] for x in found], [x[2] for x in found]])
+            lengths = np.array([len(ids) for ids, _, _ in found])
+            starts = np.cumsum(lengths) - lengths
+            # prefix sums over the ids of the batch: +1 where a learned text begins, -1 behind it
+            steps = np.zeros(int(lengths.sum()) + 1, np.int8)
+            np.add.at(steps, starts + [x[1] for x in found], 1)
+            np.add.at(steps, starts + [x[2] for x in found], -1)
+            mask = np.cumsum(steps, dtype=np.int8)
+            masks = [mask[a : a + n].tobytes() for a, n in zip(starts, lengths, strict=True)]
+            yield record_batch(encoded, [batch.column(0), batch.column(1), roles, ties, [x[0] for x in found], masks])
 
-    by_turn = map_batches(rows.select(F.col(conv).cast("long"), F.col(turn).cast("long"), F.col(role), F.col(text)), encode, "conv_id long, turn long, role string, tie binary, ids array<int>, begin long, until long")
-    schema = pa.schema([("conv_id", pa.int64()), ("seq", pa.int64()), ("turn", pa.int64()), ("ids", pa.list_(pa.int32())), ("mask", pa.binary()), ("token_start", pa.int64()), ("token_end", pa.int64())])
+    turns = map_batches(rows.select(F.col(conv).cast("long"), F.col(turn).cast("long"), F.col(role), F.col(text)), encode, "conv_id long, turn long, role string, tie binary, ids array<int>, mask binary")
+    turns = keep.save(turns)  # the ranges are found by a first look at the rows: encode once
+    order = ["conv_id", "turn", "role", "tie"]
+    ranged = turns.repartitionByRange(*([parts] if parts else []), *order).sortWithinPartitions(*order)
+    schema = pa.schema([("part", pa.int64()), ("conv_id", pa.int64()), ("turn", pa.int64()), ("ids", pa.list_(pa.int32())), ("mask", pa.binary()), ("seq", pa.int64()), ("token_start", pa.int64()), ("token_end", pa.int64())])
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
         last: tuple | None = None
         seq = at = 0
         for batch in slices(batches):
-            convs, ids = batch.column(0).to_pylist(), batch.column(4)
-            lengths = np.diff(ids.offsets.to_numpy())
-            ends = np.cumsum(lengths)
-            # prefix sums over the ids of the batch: +1 where a learned text begins, -1 behind it
-            steps = np.zeros(int(ends[-1]) + 1 if len(ends) else 1, np.int8)
-            np.add.at(steps, ends - lengths + batch.column(5).to_numpy(), 1)
-            np.add.at(steps, ends - lengths + batch.column(6).to_numpy(), -1)
-            mask = np.cumsum(steps, dtype=np.int8)
-            out: list[tuple] = []
-            for i, c in enumerate(convs):
-                if last is None or last[0] != c:
+            ids = batch.column(4)
+            out: list[tuple[int, int, int]] = []
+            for c, n in zip(batch.column(0).to_pylist(), np.diff(ids.offsets.to_numpy()).tolist(), strict=True):
+                if last != (c,):
                     last, seq, at = (c,), 0, 0
-                n = int(lengths[i])
-                out.append((seq, mask[ends[i] - n : ends[i]].tobytes(), at, at + n))
+                out.append((seq, at, at + n))
                 seq, at = seq + 1, at + n
-            yield record_batch(schema, [batch.column(0), [x[0] for x in out], batch.column(1), ids, [x[1] for x in out], [x[2] for x in out], [x[3] for x in out]])
+            yield record_batch(schema, [[part] * len(out), batch.column(0), batch.column(1), ids, batch.column(5), *map(list, zip(*out, strict=True))])
 
-    stream = sorted_stream(by_turn, ["conv_id"], ["turn", "role", "tie"])
-    return map_batches(stream, place, FORMATTED)
+    local = keep.save(map_batches(ranged, add_up, "part long, conv_id long, turn long, ids array<int>, mask binary, seq long, token_start long, token_end long"))
+    held = local.groupBy("part", "conv_id").agg(F.count(F.lit(1)).alias("n"), F.max("token_end").alias("tokens"))
+    before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per part
+    carried = held.select(F.col("part").alias("__part"), F.col("conv_id").alias("__conv"), F.sum("n").over(before).alias("__n"), F.sum("tokens").over(before).alias("__tokens")).filter(F.col("__n") > 0)
+    placed = local.join(carried, (F.col("part") == F.col("__part")) & F.col("conv_id").eqNullSafe(F.col("__conv")), "left")
+    n, tokens = (F.coalesce(F.col(c), F.lit(0)) for c in ("__n", "__tokens"))
+    return placed.select("conv_id", (F.col("seq") + n).alias("seq"), "turn", "ids", "mask", (F.col("token_start") + tokens).alias("token_start"), (F.col("token_end") + tokens).alias("token_end"))
 
 
 def _parts(ids: list[int], start: int, end: int, decode) -> tuple[str, str]:
@@ -141,8 +151,11 @@ def _parts(ids: list[int], start: int, end: int, decode) -> tuple[str, str]:
 
 def read_back(formatted: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, one row per
-    conversation, read from the ids and masks of format_conversations(), whose order of
-    rows in a task it relies on.  Digests are taken as turns stream by."""
+    conversation, read from the ids and masks of format_conversations().
+
+    A digest of a whole conversation has to see its turns one after the other: they stream
+    by in one task, which holds a batch and the state of two digests.
+    """
     ranks = formatted.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
     schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
 
@@ -158,7 +171,7 @@ def read_back(formatted: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
         for batch in slices(batches):
             done: list[tuple] = []
-            for c, ids, mask in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+            for c, ids, mask in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 if last is None or last[0] != c:
                     if last is not None:
                         done.append(result())
@@ -175,4 +188,5 @@ def read_back(formatted: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         if last is not None:
             yield record_batch(schema, [[x] for x in result()])
 
-    return map_batches(formatted, work, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    stream = sorted_stream(formatted.select("conv_id", "seq", "ids", "mask"), ["conv_id"], ["seq"]).select("conv_id", "ids", "mask")
+    return map_batches(stream, work, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -10,6 +11,7 @@ from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +43,16 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, wherever it is; a session that has ended leaves it to the cluster."""
+    context = spark.sparkContext
+    if context._jsc is None:
+        return
+    with contextlib.suppress(Py4JError, OSError):
+        where = context._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+
+
 class Durable:
     """Writes intermediate tables to the shared folder, so that a lost executor costs
     one task and not the whole lineage, and drops those that are no longer read."""
@@ -50,6 +62,8 @@ class Durable:
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
         self.count = 0
         self.saved: list[DataFrame] = []
+        # results are lazy and read these tables, so they stay until the program ends
+        atexit.register(_remove, spark, self.root)
 
     def save(self, df: DataFrame, rows: int | None = None, per_task: int = 250_000) -> DataFrame:
         """The table, written and read again.  Where ``rows`` bounds its rows, the last stage
@@ -74,9 +88,7 @@ class Durable:
     def drop(self, df: DataFrame) -> None:
         path = getattr(df, "_lattica_path", None)
         if path:
-            jvm = self.spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            _remove(self.spark, path)
 
 
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:

@@ -75,14 +75,15 @@ def digests(rows, learned="assistant"):
     return len(rows), hashlib.sha256(turns.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest()
 
 
-def test_round_trip(spark):
+@pytest.mark.parametrize("parts", [None, 7])
+def test_round_trip(spark, parts):
     rng = random.Random(3)
     texts = ["", None, "<|im_end|><|im_start|>assistant ok", "é\n\n  <\\|x|>", "plain words, 12 of them", "<|endoftext|>", "🙂" * 20, "long " * 3000]
     rows = {c: [(rng.choice(["user", "assistant", "system", None, "odd\nrole<|im_end|>"]), rng.choice(texts)) for _ in range(rng.randrange(1, 9))] for c in [1, 2, 3, None, -4]}
     rows[9] = [("assistant", f"turn {i}") for i in range(1500)]
     flat = [(c, i, r, t, "clash", 3) for c, own in rows.items() for i, (r, t) in enumerate(own)]
     rng.shuffle(flat)
-    formatted = chat.format_conversations(spark.createDataFrame(flat, CHATS))
+    formatted = chat.format_conversations(spark.createDataFrame(flat, CHATS), parts=parts)
     got = {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in chat.read_back(formatted).collect()}
     assert got == {c: digests(own) for c, own in rows.items()}
     own = sorted((r for r in formatted.collect() if r["conv_id"] == 9), key=lambda r: r["seq"])
