@@ -73,6 +73,9 @@ class GraphCompiler:
         df = self.row_set(df, query, keys)
         out = Results(sets=None if self.sets is None else len(self.sets))
         has = {n: bool(query.get(n)) for n in ("fields", "aggregates")} | {"groups": query.get("groups") is not None}
+        if sum(has.values()) > 1 and (query.get("limit") is not None or query.get("offset")):
+            # which rows a limit keeps may differ from run to run: all parts get the same ones
+            df = self._mark(df.persist(), df._lattica_order)
         if has["aggregates"]:
             out.aggregates = self.aggregates(df, query["aggregates"], keys)
         if has["groups"]:
