@@ -647,6 +647,14 @@ def q_rel_two_keys(spark, sf_dir):
     return rows.select("l_orderkey", "l_linenumber", F.col("p.aggregates.n").alias("n")).distinct()
 
 
+@query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL")
+def q_rel_two_keys_all(spark, sf_dir):
+    inner = G.query(aggregates={"n": G.star_count()})
+    q = G.query(fields={"l_orderkey": G.field("l_orderkey"), "l_linenumber": G.field("l_linenumber"), "p": G.related_field("pair_lines", inner)})
+    rows = ask(spark, sf_dir, "lineitem", q).rows
+    return rows.select("l_orderkey", "l_linenumber", F.col("p.aggregates.n").alias("n")).distinct()
+
+
 @query("SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice < 100000 AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity > 49))")
 def q_exists_related(spark, sf_dir):
     lines = G.exists(G.related("lines"), G.binop("_gt", G.target("l_quantity"), G.value(49)))

@@ -44,3 +44,8 @@ def test_query(spark, sf_dir, duck, name):
 
 def test_registry_covers_itself():
     assert set(suite.ORACLES) == set(suite.QUERIES)
+
+
+def test_two_key_relationship_covers_every_line(spark, sf_dir, duck):
+    found = suite.QUERIES["q_rel_two_keys_all"](spark, sf_dir)
+    assert {(r["l_orderkey"], r["l_linenumber"]) for r in found.collect()} == set(duck.execute("SELECT l_orderkey, l_linenumber FROM lineitem").fetchall())
