@@ -177,6 +177,16 @@ def q_null_join_keys(spark, sf_dir):
     return run(spark, sf_dir, r, "k n")
 
 
+@query("""
+WITH b AS (SELECT CASE WHEN o_totalprice > 150000 THEN o_orderpriority END AS k FROM orders)
+SELECT coalesce(x.k, '-') AS k, CAST(sum(n) AS BIGINT) AS n FROM b x JOIN (SELECT k, count(*) AS n FROM b GROUP BY 1) y ON x.k IS NOT DISTINCT FROM y.k GROUP BY 1""")
+def q_null_join_keys_all(spark, sf_dir):
+    b = scan("orders", ["o_totalprice", "o_orderpriority"]).project(fn("case", [(gt(col(0), 150000.0), col(1))]))
+    keys = b.aggregate([col(0)], [fn("count")])
+    r = b.join(keys, [(col(0), col(0))]).aggregate([col(0)], [total(col(2))]).project(fn("coalesce", col(0), lit("-")), col(1))
+    return run(spark, sf_dir, r, "k n")
+
+
 @query("SELECT r_name, n_name FROM region, nation")
 def q_cross(spark, sf_dir):
     r = scan("region", ["r_name"]).join(scan("nation", ["n_name"]))

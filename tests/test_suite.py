@@ -49,3 +49,9 @@ def test_registry_covers_itself():
 def test_two_key_relationship_covers_every_line(spark, sf_dir, duck):
     found = suite.QUERIES["q_rel_two_keys_all"](spark, sf_dir)
     assert {(r["l_orderkey"], r["l_linenumber"]) for r in found.collect()} == set(duck.execute("SELECT l_orderkey, l_linenumber FROM lineitem").fetchall())
+
+
+def test_null_join_keys_pair_every_order(spark, sf_dir, duck):
+    rows = {r["k"]: r["n"] for r in suite.QUERIES["q_null_join_keys_all"](spark, sf_dir).collect()}
+    counts = dict(duck.execute("SELECT CASE WHEN o_totalprice > 150000 THEN o_orderpriority ELSE '-' END, count(*) FROM orders GROUP BY 1").fetchall())
+    assert rows == {k: n * n for k, n in counts.items()}
