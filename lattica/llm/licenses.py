@@ -7,12 +7,14 @@ sentences between two of them.  Rules that need more sentences win over those th
 fewer.
 
 Notices are cut in two ways at once: at the end of lines (a notice on a line of its own)
-and with the lines of a paragraph joined (a notice that runs over lines).
+and with the lines of a paragraph joined (a notice that runs over lines).  Comment marks
+that lines share are blanked first, so that a comment is cut like the text in it.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -107,6 +109,12 @@ ANCHORS = ("license", "licence", "rights reserved", "permission", "copyright", "
 _CUT = re.compile(r"(?<=[.!?])\s+(?=[^\s\d])|(?<=:)[ \t]*\n|\n(?=\s*(?:\d+[.)]|[*-])\s)|\n\s*\n")
 _LINE = re.compile(r"\n")
 _NOISE = re.compile(r"[^a-z0-9]+")
+#: Marks that begin a line of a comment; a star or a single dash may be a list mark as well.
+_MARK = re.compile(r"[ \t]*(//+!?|#+|--+|;+|%+|\*+(?:[/)](?=\s|$))?|-(?=\s|$))")
+#: A line that opens a comment and does not close it, with the mark if the line begins with
+#: it; the end of one.
+_OPEN = re.compile(r"([ \t]*(?:/\*+!?|\(\*+|<!--+))|.*?(?:/\*|\(\*|<!--)")
+_CLOSE = re.compile(r"^[ \t]*(?:\*+[/)]|--+>)|(?:\*+[/)]|--+>)\s*$")
 _LEAD = re.compile(r"^(?:\d+|[a-z]|[*#/;-]+)[.)]?\s+", re.IGNORECASE)
 
 
@@ -130,6 +138,40 @@ def _pieces(text: str, cut: re.Pattern, start: int, end: int) -> Iterator[tuple[
         yield at, end
 
 
+def uncommented(text: str) -> str:
+    """The text with the comment marks that consecutive lines share as spaces, place by place.
+
+    Stars and single dashes count only if they stand on every line of a paragraph or of a
+    comment; else they mark the items of a list.
+    """
+    lines, marks = text.split("\n"), []
+    for line in lines:
+        m = _MARK.match(line)
+        marks.append(m and (m[1][0] + (m[1] == "-") * " ", m.end()))
+    out, i = list(lines), 0
+    opened = lambda line: (m := _OPEN.match(line)) and not _CLOSE.search(line, m.end()) and m
+    while i < len(lines):
+        if not marks[i]:
+            i += 1
+            continue
+        kind, j = marks[i][0], i + 1
+        while j < len(lines) and marks[j] and marks[j][0] == kind and not (kind == "*" and _CLOSE.search(lines[j - 1])):
+            j += 1
+        top = opened(lines[i - 1]) if i else None
+        shared = j - i > 1 or top
+        if kind in ("*", "- "):
+            starts = i == 0 or not lines[i - 1].strip() or top
+            ends = j == len(lines) or not lines[j].strip() or _CLOSE.search(lines[j - 1]) or _CLOSE.match(lines[j])
+            shared = shared and starts and ends
+        if shared:
+            for k in range(i, j):
+                out[k] = " " * marks[k][1] + lines[k][marks[k][1] :]
+            if top and top[1]:
+                out[i - 1] = " " * len(top[1]) + lines[i - 1][len(top[1]) :]
+        i = j
+    return "\n".join(out)
+
+
 class Recogniser:
     """Known sentences of a text, and the rules that they meet."""
 
@@ -142,11 +184,16 @@ class Recogniser:
         """(number, start, end, id) of the known sentences in order; the number counts
         paragraph sentences, known or not."""
         found: dict[tuple[int, int], tuple[int, str]] = {}
-        for number, (a, b) in enumerate(_pieces(text, _CUT, 0, len(text))):
-            spans = [(a, b), *(x for x in _pieces(text, _LINE, a, b))] if "\n" in text[a:b] else [(a, b)]
-            for x, y in spans:
-                if y - x <= self.longest and (own := self.known.get(sentence_key(text[x:y]))):
-                    found.setdefault((x, y), (number, own))
+        bare = uncommented(text)
+        starts = [a for a, _ in _pieces(bare, _CUT, 0, len(bare))]
+        for body in (bare, text) if bare != text else (text,):
+            for a, b in _pieces(body, _CUT, 0, len(body)):
+                spans = [(a, b), *(x for x in _pieces(body, _LINE, a, b))] if "\n" in body[a:b] else [(a, b)]
+                for x, y in spans:
+                    if body is not text:  # blanked marks at the end are no part of a notice
+                        y = x + len(body[x:y].rstrip())
+                    if y - x <= self.longest and (own := self.known.get(sentence_key(body[x:y]))):
+                        found.setdefault((x, y), (max(0, bisect_right(starts, a) - 1), own))
         out: list[tuple[int, int, int, str]] = []
         for (a, b), (number, own) in sorted(found.items(), key=lambda x: (x[0][0], -x[0][1])):
             if not out or a >= out[-1][2]:

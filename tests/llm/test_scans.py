@@ -3,6 +3,7 @@
 import base64
 import json
 import re
+import textwrap
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -76,6 +77,33 @@ def test_rules():
     assert text[a:b] == "All rights reserved."
 
 
+def commented(text, top, mark, end):
+    return "\n".join([*top, *(f"{mark} {line}".rstrip() for line in text.split("\n")), *end])
+
+
+def test_rules_in_comments():
+    recognise, s = licenses.Recogniser(), licenses.SENTENCES
+    wrap = lambda *ids: "\n\n".join("\n".join(textwrap.wrap(s[i], 60)) for i in ids)
+    texts = {
+        "Apache-2.0": wrap("apache2.header", "apache2.obtain", "apache2.warranty", "apache2.see"),
+        "MIT": wrap("mit.grant", "mit.notice", "mit.warranty"),
+        "GPL-3.0-or-later": wrap("gpl.redistribute3", "gpl.warranty", "gpl.details"),
+    }
+    for licence, text in texts.items():
+        plain = [x[:3] for x in recognise(text)]
+        assert [x[0] for x in plain] == [licence]
+        for top, mark, end in ((["/*"], " *", [" */"]), (["/**"], " *", [" */", "package a;"]), (["a();", "/*!"], " *", ["**/"]), ([], "//", []), ([], "#", ["x = 1"]), ([], "--", []), ([], " *", [])):
+            assert [x[:3] for x in recognise(commented(text, top, mark, end))] == plain, (licence, top, mark)
+    # items of a list stay apart, also in a comment
+    items = f"Terms:\n* {s['mit.released'][:-1]}\n* {s['apache2.released'][:-1]}\n  and more"
+    assert licenses.uncommented(items) == items
+    assert [x[0] for x in recognise(f"/*\n * Terms:\n *\n * - {s['reserved.all']}\n * - more\n */")] == ["Proprietary"]
+    # places are those of the text as given
+    text = "é\n/*\n * Some words. All rights\n * reserved under the law. Licensed under\n * the MIT License.\n */"
+    ((_, _, _, a, b),) = recognise(text)
+    assert text[a:b] == "Licensed under\n * the MIT License."
+
+
 def test_license_table(spark):
     docs = spark.createDataFrame([(1, "x\nAll rights reserved.", 1), (2, None, 1), (3, "", 1), (None, "MIT License", 1), (1, "x\nAll rights reserved.", 1)], "doc_id long, text string, license int")
     got = sorted((r["id"] or 0, r["license"]) for r in licenses.license_notices(docs).collect())
