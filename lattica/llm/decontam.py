@@ -7,6 +7,8 @@ Myers' bit-parallel algorithm (1999) gives the least edit distance between the i
 any stretch of the window.  Windows of an item that overlap are joined first, so a stretch
 is verified once.
 
+Short items have no budget: they are found as they are, not inside longer words.
+
 The items are the query set.  They go to the tasks in blocks of at most ``block_chars``
 characters; a larger benchmark means more passes over the documents and no larger
 broadcast.
@@ -28,12 +30,14 @@ from .common import map_batches, record_batch, slices, strings
 
 #: Edits that are allowed, as a share of the characters of the normalised item.
 ERROR_RATE = 0.08
-#: Items with fewer normalised characters say nothing when found, and are not searched.
+#: Items with fewer normalised characters are searched exactly and as whole words.
 LEAST_CHARS = 24
 #: Characters of items in one broadcast block.
 BLOCK_CHARS = 4_000_000
 
 _GAPS = re.compile(r"[\W_]+")
+#: Letters of scripts that put no space between words: Thai to Lao, Burmese, Khmer, kana, Han.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def normalised(text: str) -> str:
@@ -43,17 +47,20 @@ def normalised(text: str) -> str:
 
 @dataclass(frozen=True)
 class Item:
-    item_id: int
+    item_id: int | None
     text: str
     budget: int
+    whole: bool = False  # only as whole words
 
 
-def items_of(rows: Iterable[tuple[int, str | None]], error_rate: float = ERROR_RATE, least_chars: int = LEAST_CHARS) -> list[Item]:
+def items_of(rows: Iterable[tuple[int | None, str | None]], error_rate: float = ERROR_RATE, least_chars: int = LEAST_CHARS) -> list[Item]:
+    """The items that have a letter or digit."""
     out = []
     for item_id, text in rows:
         norm = normalised(text or "")
-        if item_id is not None and len(norm) >= least_chars:
-            out.append(Item(int(item_id), norm, int(len(norm) * error_rate)))
+        if norm:
+            short = len(norm) < least_chars
+            out.append(Item(item_id, norm, 0 if short else int(len(norm) * error_rate), short))
     return out
 
 
@@ -92,6 +99,11 @@ def myers(pattern: str, text: str, most: int) -> tuple[int, int] | None:
     return (best, end) if best <= most else None
 
 
+def _parted(norm: str, at: int) -> bool:
+    """Whether a word can begin or end at a place of a normalised text."""
+    return at in (0, len(norm)) or any(c == " " or _UNSPACED.match(c) for c in norm[at - 1 : at + 1])
+
+
 class Searcher:
     """Finds the items of a block in texts."""
 
@@ -116,6 +128,10 @@ class Searcher:
             for i, offset in where:
                 item = self.items[i]
                 start = last + 1 - length - offset
+                if item.whole:
+                    if i not in spans and _parted(norm, start) and _parted(norm, last + 1):
+                        spans[i].append([start, last + 1])
+                    continue
                 spans[i].append([max(0, start - item.budget), min(len(norm), start + len(item.text) + item.budget)])
         for i, own in spans.items():
             own.sort()
@@ -172,8 +188,9 @@ def _places(text: str, norm: str) -> list[int]:
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", error_rate: float = ERROR_RATE, least_chars: int = LEAST_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """id, item_id, distance, start, end: one row per document and item found in it.
 
-    Null or empty texts and items match nothing; items with a null id are not searched; an
-    item id that occurs twice stands for both texts.  Every row of ``docs`` is searched by
+    Null or empty texts and items, and items without a letter or digit, match nothing; an
+    item with a null id is searched like any other; an item id that occurs twice stands for
+    both texts.  Items under ``least_chars`` are found exactly, as whole words.  Every row of ``docs`` is searched by
     itself, so repeated rows give repeated results.  Empty tables give no rows.
     """
     rows = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t"))
@@ -200,7 +217,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: s
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", error_rate: float = ERROR_RATE, least_chars: int = LEAST_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` without the documents that hold a test item, row by row and with no join:
-    rows with a null id, and repeated ids, are each judged by their own text."""
+    rows with a null id, and repeated ids, are each judged by their own text.  Items need no
+    id."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("i"), F.col("text").alias("t"))
     total = rows.agg(F.sum(F.char_length("t"))).first()[0] or 0
     blocks = max(1, -(-total // block_chars))

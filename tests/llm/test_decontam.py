@@ -75,3 +75,12 @@ def test_leaks_and_edges(spark):
     assert decontam.leaks(docs, bench.limit(0)).count() == 0
     assert decontam.leaks(docs.limit(0), bench).count() == 0
     assert decontam.drop_leaks(docs, bench.limit(0)).count() == 6
+
+
+def test_short_items_and_items_without_id(spark):
+    short, han, edited = "What is 12 times 7?", "水的沸点在海平面是多少摄氏度", "What is 12 times 8?"
+    docs = spark.createDataFrame([(1, f"Q: {short} A: 84", "x", 1), (2, f"请问{han}呢。", "x", 1), (3, f"{edited} 96", "x", 1), (4, "somewhat is 12 times 7", "x", 1), (5, "what is 12 times 70", "x", 1), (6, f"so: {ITEM}", "x", 1), (7, "clean", "x", 1)], DOCS)
+    bench = spark.createDataFrame([(1, short), (2, han), (None, ITEM), (3, "?!")], "item_id long, text string")
+    rows = sorted(map(tuple, decontam.leaks(docs, bench).collect()))
+    assert rows == [(1, 1, 0, 3, 3 + len(short) - 1), (2, 2, 0, 2, 2 + len(han)), (6, None, 0, 4, 4 + len(ITEM))]
+    assert sorted(r["doc_id"] for r in decontam.drop_leaks(docs, bench).collect()) == [3, 4, 5, 7]
