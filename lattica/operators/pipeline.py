@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..errors import BadQuery, NotSupported
 from ..functions.aggregation import Scope, compile_accumulator, compile_expression
@@ -432,6 +433,26 @@ def _vector_search(p: Pipeline, df: DataFrame, body: Any) -> DataFrame:
     return scored.orderBy(F.col("vectorSearchScore").desc_nulls_last(), *ties).limit(int(body["limit"]))
 
 
+def nearest(df: DataFrame, queries: DataFrame, key: str, path: str, limit: int, block: int = 1000) -> DataFrame:
+    """query_id and key of the rows of ``df`` nearest to each row of ``queries`` by cosine,
+    exactly, ties by key.  The queries are broadcast in blocks of about ``block`` rows; of
+    the pairs each task keeps ``limit`` for a query before any is shuffled."""
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda u, v: u.cast("double") * v.cast("double")), F.lit(0.0), lambda s, v: s + v)
+    size = lambda x: F.sqrt(dot(x, x))
+    rows = df.select(F.col(key), F.col(path).alias("x"), size(F.col(path)).alias("xs"))
+    asked = queries.select(F.col(key).alias("query_id"), F.col(path).alias("q"), size(F.col(path)).alias("qs"))
+    blocks = max(1, -(-queries.count() // block))
+    cosine = F.when((F.col("xs") > 0) & (F.col("qs") > 0), dot(F.col("x"), F.col("q")) / (F.col("xs") * F.col("qs")))
+    best = Window.partitionBy("query_id").orderBy(F.col("score").desc_nulls_last(), F.col(key))
+    out = None
+    for n in range(blocks):
+        own = asked if blocks == 1 else asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == n)
+        pairs = rows.crossJoin(F.broadcast(own)).select("query_id", key, cosine.alias("score"))
+        part = pairs.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= limit).select("query_id", key)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @stage("$search")
 def _search(p: Pipeline, df: DataFrame, body: Any) -> DataFrame:
     """Rows that hold any of the words of a query, the number of hits as ``searchScore``."""

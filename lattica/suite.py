@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .operators.graph import compile_request
-from .operators.pipeline import Pipeline, facets, pipeline_view
+from .operators.pipeline import Pipeline, facets, nearest, pipeline_view
 from .operators.relational import compile_relation
 from .plans import graph as G
 from .plans.relational import Relation, SetOperation, Union, Aggregate, asc, call, col, desc, eq, gt, gt_eq, lit, lt, lt_eq, not_eq, scan
@@ -856,6 +856,14 @@ def q_vector_topk(spark, sf_dir):
     return Pipeline(catalog).run(stages, catalog.open("embeddings"))
 
 
+@query("""
+SELECT query_id, vec_id FROM (SELECT q.vec_id AS query_id, e.vec_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) DESC, e.vec_id) AS n
+  FROM embeddings e, embeddings q WHERE q.vec_id % 50 = 0) WHERE n <= 10""")
+def q_vector_topk_all(spark, sf_dir):
+    rows = catalog_of(spark, sf_dir).open("embeddings").select("vec_id", "embedding")
+    return nearest(rows, rows.filter("vec_id % 50 = 0"), "vec_id", "embedding", 10)
+
+
 @query(r"""
 SELECT doc_id, len(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x IN ('license', 'version'))) AS score FROM documents WHERE score > 0""")
 def q_text_search(spark, sf_dir):

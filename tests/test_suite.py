@@ -55,3 +55,16 @@ def test_null_join_keys_pair_every_order(spark, sf_dir, duck):
     rows = {r["k"]: r["n"] for r in suite.QUERIES["q_null_join_keys_all"](spark, sf_dir).collect()}
     counts = dict(duck.execute("SELECT CASE WHEN o_totalprice > 150000 THEN o_orderpriority ELSE '-' END, count(*) FROM orders GROUP BY 1").fetchall())
     assert rows == {k: n * n for k, n in counts.items()}
+
+
+def test_every_query_vector_is_searched(spark, sf_dir, duck):
+    found = suite.QUERIES["q_vector_topk_all"](spark, sf_dir).collect()
+    (asked,) = duck.execute("SELECT list(vec_id) FROM embeddings WHERE vec_id % 50 = 0").fetchone()
+    assert sorted(r["query_id"] for r in found) == sorted(asked * 10)
+
+
+def test_blocks_of_queries_give_the_same(spark, sf_dir):
+    rows = suite.catalog_of(spark, sf_dir).open("embeddings")
+    asked = rows.filter("vec_id % 50 = 0")
+    whole, parts = (set(map(tuple, suite.nearest(rows, asked, "vec_id", "embedding", 10, block).collect())) for block in (1000, 1))
+    assert whole == parts
