@@ -455,12 +455,16 @@ def nearest(df: DataFrame, queries: DataFrame, key: str, path: str, limit: int,
 
 @stage("$search")
 def _search(p: Pipeline, df: DataFrame, body: Any) -> DataFrame:
-    """Rows that hold any of the words of a query, the number of hits as ``searchScore``."""
+    """Rows that hold any of the words of a query, the number of hits in all paths as
+    ``searchScore``; a path given twice counts once."""
     spec = body["text"]
-    x = resolve(df.schema, (spec["path"] if isinstance(spec["path"], str) else spec["path"][0]).split("."))[0]
+    paths = [spec["path"]] if isinstance(spec["path"], str) else list(dict.fromkeys(spec["path"]))
     words = list(dict.fromkeys(w for w in str(spec["query"]).lower().split() if w))
-    tokens = F.split(F.lower(x), r"[^\p{L}\p{N}]+")
-    score = F.size(F.filter(tokens, lambda t: t.isin(*words)))
+    score = F.lit(0)
+    for path in paths:
+        tokens = F.split(F.lower(resolve(df.schema, path.split("."))[0]), r"[^\p{L}\p{N}]+")
+        hits = F.size(F.filter(tokens, lambda t: t.isin(*words)))
+        score += F.when(tokens.isNotNull(), hits).otherwise(0)
     return df.withColumn("searchScore", score).filter(F.col("searchScore") > 0).orderBy(F.col("searchScore").desc())
 
 

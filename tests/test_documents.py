@@ -264,3 +264,13 @@ def test_rows_that_do_not_match_their_type(catalog):
         execute_request(request, catalog, {"x": Scalar("double")})
     (out,) = execute_request(request, catalog, {"x": Scalar("double")}, on_mismatch="skipRow")
     assert len(out["rows"]) == 2 and out["aggregates"] == {"n": "3"}
+
+
+def test_search_reads_every_path(spark):
+    df = spark.createDataFrame([(1, "red fox", "blue"), (2, None, "a Fox, a fox"), (3, "fox", "fox"), (4, "none", None)], "k int, a string, b string")
+    pipeline = Pipeline(Catalog(spark))
+    text = lambda path: {"text": {"query": "fox", "path": path}}
+    found = lambda path: {r["k"]: r["searchScore"] for r in pipeline.run([{"$search": text(path)}], df).collect()}
+    assert found(["a", "b"]) == found(["b", "a", "b"]) == {1: 1, 2: 2, 3: 2}
+    assert found("a") == found(["a"]) == {1: 1, 3: 1}
+    assert pipeline.run([{"$searchMeta": text(["a", "b"])}], df).first()["count"] == 3
