@@ -345,6 +345,13 @@ def q_strings_3(spark, sf_dir):
     return run(spark, sf_dir, r, "doc_id a b c d e")
 
 
+@query("SELECT doc_id, left(text, 30) AS a, md5(lower(text)) AS b FROM documents")
+def q_strings_3_all(spark, sf_dir):
+    text = col(1)
+    r = scan("documents", ["doc_id", "text"]).project(col(0), fn("left", text, lit(30)), fn("to_lower", text))
+    return run(spark, sf_dir, r, "doc_id a b").withColumn("b", F.md5("b"))
+
+
 @query("""
 SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS a, json_extract_string(props, '$.k') AS b, CAST(json_extract(props, '$.k') AS DOUBLE) AS c, CAST(json_extract(props, '$.k') AS INTEGER) <> 0 AS d,
   json_extract_string(props, '$.missing') AS e, json_extract_string(props, '$.k') AS f, json_extract_string(props, '$.k') AS g, 3 AS h, true AS i, false AS j, 7 AS m FROM events""")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import decimal
+import hashlib
 import math
 
 import duckdb
@@ -68,3 +69,8 @@ def test_blocks_of_queries_give_the_same(spark, sf_dir):
     asked = rows.filter("vec_id % 50 = 0")
     whole, parts = (set(map(tuple, suite.nearest(rows, asked, "vec_id", "embedding", 10, block).collect())) for block in (1000, 1))
     assert whole == parts
+
+
+def test_lower_case_of_whole_texts(spark, sf_dir, duck):
+    found = {r["doc_id"]: r["b"] for r in suite.QUERIES["q_strings_3_all"](spark, sf_dir).collect()}
+    assert found == {i: hashlib.md5(t.lower().encode()).hexdigest() for i, t in duck.execute("SELECT doc_id, text FROM documents").fetchall()}
