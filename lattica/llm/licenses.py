@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -101,12 +102,12 @@ RULES = (
     ("Proprietary", ("reserved.all",)),
 )
 
-#: Every known sentence holds one of these; a text without any has no notice.
-ANCHORS = ("license", "licence", "rights reserved", "permission", "copyright", "warrant", "redistribut", "public domain", "licensed")
-
-#: A sentence ends before white space that follows . ! or ? (but "v. 2.0" goes on), at a
-#: colon that ends a line, before a list mark that begins one, and at an empty line.
-_CUT = re.compile(r"(?<=[.!?])\s+(?=[^\s\d])|(?<=:)[ \t]*\n|\n(?=\s*(?:\d+[.)]|[*-])\s)|\n\s*\n")
+#: A sentence ends before white space that follows . ! or ? (but "v. 2.0" goes on) and at an
+#: empty line.  It may end at a colon that ends a line, and before a list mark that begins
+#: one: a line may as well break there inside a sentence.
+_CUT = re.compile(r"(?<=[.!?])\s+(?=[^\s\d])|(?P<weak>(?<=:)[ \t]*\n(?!\s*\n)|\n(?=[^\S\n]*(?:\d+[.)]|[*-])\s))|\n\s*\n")
+#: A word of a sentence beside which a line break looks like the end of one.
+_WEAK = re.compile(r"\S:(?=\s)|(?<=\s)(?:\d+[.)]|[*-])(?=\s|$)")
 _LINE = re.compile(r"\n")
 _NOISE = re.compile(r"[^a-z0-9]+")
 #: Marks that begin a line of a comment; a star or a single dash may be a list mark as well.
@@ -114,7 +115,8 @@ _MARK = re.compile(r"[ \t]*(//+!?|#+|--+|;+|%+|\*+(?:[/)](?=\s|$))?|-(?=\s|$))")
 #: A line that opens a comment and does not close it, with the mark if the line begins with
 #: it; the end of one.
 _OPEN = re.compile(r"([ \t]*(?:/\*+!?|\(\*+|<!--+))|.*?(?:/\*|\(\*|<!--)")
-_CLOSE = re.compile(r"^[ \t]*(?:\*+[/)]|--+>)|(?:\*+[/)]|--+>)\s*$")
+#: Only the first of a run of stars or dashes is tried, so that a long rule costs one pass.
+_CLOSE = re.compile(r"^[ \t]*(?:\*+[/)]|--+>)|(?:(?<!\*)\*+[/)]|(?<!-)--+>)\s*$")
 _LEAD = re.compile(r"^(?:\d+|[a-z]|[*#/;-]+)[.)]?\s+", re.IGNORECASE)
 
 
@@ -128,14 +130,35 @@ def known_sentences() -> dict[str, str]:
     return {sentence_key(s): i for i, s in SENTENCES.items()}
 
 
+def anchor_words(keys: Iterable[str]) -> list[str]:
+    """Words of which every key has one: at each step the word that most of the keys left
+    have (of equal ones the longest, then the first).
+
+    A word of a key is one run of letters and digits, which no line break, comment mark or
+    spacing can part, so a lower-case text without any of the words has none of the keys.
+    """
+    left, out = [set(k.split()) for k in keys], []
+    while left:
+        words = Counter(w for own in left for w in own)
+        out.append(min(words, key=lambda w: (len(w) < 6, -words[w], -len(w), w)))
+        left = [own for own in left if out[-1] not in own]
+    return out
+
+
 def _pieces(text: str, cut: re.Pattern, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """Stretches between cuts."""
+    return ((a, b) for a, b, _ in _cut_up(text, cut, start, end))
+
+
+def _cut_up(text: str, cut: re.Pattern, start: int, end: int) -> Iterator[tuple[int, int, bool]]:
+    """Stretches between cuts, and whether the cut behind one is a weak one."""
     at = start
     for m in cut.finditer(text, start, end):
         if m.start() > at:
-            yield at, m.start()
+            yield at, m.start(), m.lastgroup == "weak"
         at = m.end()
     if end > at:
-        yield at, end
+        yield at, end, False
 
 
 def uncommented(text: str) -> str:
@@ -177,34 +200,44 @@ class Recogniser:
 
     def __init__(self, gap: int = GAP):
         self.known, self.gap = known_sentences(), gap
-        self.longest = max(map(len, self.known)) * 3
+        self.anchors = anchor_words(self.known)
+        #: Weak cuts that can lie inside a known sentence.
+        self.weak = max(len(_WEAK.findall(x)) for x in SENTENCES.values())
         self.rules = sorted(RULES, key=lambda r: -len(r[1]))
 
-    def sentences(self, text: str) -> list[tuple[int, int, int, str]]:
-        """(number, start, end, id) of the known sentences in order; the number counts
-        paragraph sentences, known or not."""
-        found: dict[tuple[int, int], tuple[int, str]] = {}
+    def sentences(self, text: str) -> list[tuple[int, int, int, int, str]]:
+        """(first, last, start, end, id) of the known sentences in order; first and last
+        number the paragraph sentences, known or not, that it begins and ends in."""
+        found: dict[tuple[int, int], str] = {}
         bare = uncommented(text)
         starts = [a for a, _ in _pieces(bare, _CUT, 0, len(bare))]
         for body in (bare, text) if bare != text else (text,):
-            for a, b in _pieces(body, _CUT, 0, len(body)):
-                spans = [(a, b), *(x for x in _pieces(body, _LINE, a, b))] if "\n" in body[a:b] else [(a, b)]
+            cuts = list(_cut_up(body, _CUT, 0, len(body)))
+            for n, (a, b, _) in enumerate(cuts):
+                spans = [(a, b)]
+                if "\n" in body[a:b]:
+                    spans += _pieces(body, _LINE, a, b)
+                for k in range(n, min(n + self.weak, len(cuts) - 1)):
+                    if not cuts[k][2]:
+                        break
+                    spans.append((a, cuts[k + 1][1]))
                 for x, y in spans:
                     if body is not text:  # blanked marks at the end are no part of a notice
                         y = x + len(body[x:y].rstrip())
-                    if y - x <= self.longest and (own := self.known.get(sentence_key(body[x:y]))):
-                        found.setdefault((x, y), (max(0, bisect_right(starts, a) - 1), own))
-        out: list[tuple[int, int, int, str]] = []
-        for (a, b), (number, own) in sorted(found.items(), key=lambda x: (x[0][0], -x[0][1])):
-            if not out or a >= out[-1][2]:
-                out.append((number, a, b, own))
+                    if own := self.known.get(sentence_key(body[x:y])):
+                        found.setdefault((x, y), own)
+        out: list[tuple[int, int, int, int, str]] = []
+        for (a, b), own in sorted(found.items(), key=lambda x: (x[0][0], -x[0][1])):
+            if not out or a >= out[-1][3]:
+                first, last = (max(0, bisect_right(starts, at) - 1) for at in (a, b - 1))
+                out.append((first, last, a, b, own))
         return out
 
     def __call__(self, text: str) -> list[tuple[str, str, int, int, int]]:
         """(licence, rule, sentences, start, end) of the rules met, in order; a sentence
         serves one rule."""
         lower = text.lower()
-        if not any(a in lower for a in ANCHORS):
+        if not any(a in lower for a in self.anchors):
             return []
         row = self.sentences(text)
         out, at = [], 0
@@ -212,20 +245,20 @@ class Recogniser:
             for licence, ids in self.rules:
                 got = self._meets(row, at, ids)
                 if got:
-                    out.append((licence, "+".join(ids), len(ids), row[at][1], row[got - 1][2]))
+                    out.append((licence, "+".join(ids), len(ids), row[at][2], row[got - 1][3]))
                     at = got
                     break
             else:
                 at += 1
         return out
 
-    def _meets(self, row: list[tuple[int, int, int, str]], at: int, ids: tuple[str, ...]) -> int:
+    def _meets(self, row: list[tuple[int, int, int, int, str]], at: int, ids: tuple[str, ...]) -> int:
         """The place behind the sentences that meet the rule from ``at`` on, or 0."""
         if at + len(ids) > len(row):
             return 0
         for k, want in enumerate(ids):
-            number, _, _, own = row[at + k]
-            if own != want or k and number - row[at + k - 1][0] > self.gap + 1:
+            first, _, _, _, own = row[at + k]
+            if own != want or k and first - row[at + k - 1][1] > self.gap + 1:
                 return 0
         return at + len(ids)
 
@@ -233,8 +266,11 @@ class Recogniser:
 def license_notices(docs: DataFrame, id_col: str = "doc_id", text: str = "text", gap: int = GAP) -> DataFrame:
     """id, license, rule, n_sentences, start, end: one row per rule met in a text.
 
-    Null and empty texts have none.  Every row is scanned by itself, so repeated rows give
-    repeated results.  Places are code points, end exclusive.
+    Null and empty texts have none, an empty table gives no rows, a null id stays null.
+    Every row is scanned by itself, so repeated rows give repeated results.  Of rules that
+    begin at one sentence the one with the most sentences is taken, of equally long ones the
+    first listed.  A text of any length is scanned whole, in time proportional to it.  Places
+    are code points, end exclusive.
     """
     schema = pa.schema([("id", pa.int64()), ("license", pa.string()), ("rule", pa.string()), ("n_sentences", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 

@@ -2,8 +2,10 @@
 
 import base64
 import json
+import random
 import re
 import textwrap
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -55,7 +57,7 @@ def test_secret_query_columns(spark, tmp_path):
 def test_known_sentences_are_cut_as_they_stand():
     for own in licenses.SENTENCES.values():
         assert list(licenses._pieces(own, licenses._CUT, 0, len(own))) == [(0, len(own))], own
-        assert any(a in own.lower() for a in licenses.ANCHORS), own
+        assert any(a in own.lower() for a in licenses.anchor_words(licenses.known_sentences())), own
     assert {i for _, ids in licenses.RULES for i in ids} == set(licenses.SENTENCES)
     assert len(licenses.known_sentences()) == len(licenses.SENTENCES)
 
@@ -104,6 +106,71 @@ def test_rules_in_comments():
     assert text[a:b] == "Licensed under\n * the MIT License."
 
 
+#: Sentences with no known key, and none of its own words.
+FILLER = ("Some words stand here.", "Nobody reads this one.", "It goes on.")
+
+
+def plain_rules(row, gap=licenses.GAP):
+    """Licences of a row of sentence ids (None: unknown), by trying every rule everywhere."""
+    known = [(n, i) for n, i in enumerate(row) if i]
+    out, at = [], 0
+    while at < len(known):
+        best = None
+        for licence, ids in licenses.RULES:
+            own = known[at : at + len(ids)]
+            near = all(b[0] - a[0] <= gap + 1 for a, b in zip(own, own[1:]))
+            if [i for _, i in own] == list(ids) and near and (best is None or len(ids) > len(best[1])):
+                best = (licence, ids)
+        if best:
+            out.append((best[0], "+".join(best[1]), len(best[1])))
+        at += len(best[1]) if best else 1
+    return out
+
+
+def test_notices_in_any_layout_equal_plain_matching():
+    rng, recognise, met = random.Random(5), licenses.Recogniser(), 0
+    for _ in range(700):
+        row, paragraphs = [], []
+        for _ in range(rng.randrange(1, 4)):
+            if rng.random() < 0.7:
+                row += rng.choice(licenses.RULES)[1]
+            row += [None] * rng.choice([0, 1, 1, 2, 4])
+        for i in row:
+            words = (licenses.SENTENCES[i] if i else rng.choice(FILLER)).split(" ")
+            if rng.random() < 0.2:
+                words = [w.upper() for w in words]
+            # joined to the paragraph before where both are whole sentences
+            if paragraphs and paragraphs[-1][-1].endswith(".") and not words[0].isdigit() and rng.random() < 0.5:
+                paragraphs[-1] += words
+            else:
+                paragraphs.append(words)
+        mark = rng.choice(["", "", "# ", "// ", " * ", "-- ", "; "])
+        lines = []
+        for words in paragraphs:
+            line = ""
+            width = rng.choice([1, 20, 70, 10_000])
+            for w in words:
+                if line and len(line) + len(w) > width:
+                    lines.append(line)
+                    line = ""
+                line += (rng.choice([" ", " ", "  ", "\t"]) if line else "") + w
+            lines += [line, ""]
+        text = "\n".join((mark + x).rstrip() for x in lines)
+        text = f"/*\n{text}\n */" if mark == " * " else text
+        expected = plain_rules(row)
+        met += len(expected)
+        assert [x[:3] for x in recognise(text)] == expected, text
+    assert met > 500
+
+
+def test_licenses_in_very_long_texts():
+    recognise, last = licenses.Recogniser(), "\nAll rights\nreserved."
+    for filling in ("*" * 1_000_000, "-" * 1_000_000, " " * 2_000_000, "\n" * 1_000_000, "\n " * 500_000, "word" * 500_000, ". " * 300_000, "\n* a" * 100_000):
+        start = time.perf_counter()
+        found = recognise(f"{filling}\n{last}")
+        assert [x[0] for x in found] == ["Proprietary"] and time.perf_counter() - start < 10
+
+
 def test_license_table(spark):
     docs = spark.createDataFrame([(1, "x\nAll rights reserved.", 1), (2, None, 1), (3, "", 1), (None, "MIT License", 1), (1, "x\nAll rights reserved.", 1)], "doc_id long, text string, license int")
     got = sorted((r["id"] or 0, r["license"]) for r in licenses.license_notices(docs).collect())
