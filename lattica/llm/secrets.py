@@ -58,6 +58,8 @@ BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _HEX = bytes(104 if chr(c) in "0123456789abcdef" else 46 for c in range(256))
 _RUN = b"h" * LEAST["hex"]
+#: The run that the first part of a jwt is in: where a match fails, it fails all along it.
+_JWT_RUN = re.compile(r"[A-Za-z0-9_-]+")
 
 
 def checksum62(body: str) -> str:
@@ -103,10 +105,14 @@ class Scanner:
         spans: list[tuple[int, int, int]] = []
 
         def attempt(kind: str, start: int) -> None:
-            if start >= past[kind] and (m := PATTERNS[kind].match(text, start)):
+            if start < past[kind]:
+                return
+            if m := PATTERNS[kind].match(text, start):
                 past[kind] = m.end()  # a match that fails its check still takes its place
                 if _holds(kind, m):
                     spans.append((m.start(), KINDS.index(kind), m.end()))
+            elif kind == "jwt" and (run := _JWT_RUN.match(text, start)):
+                past[kind] = run.end()  # a start further on in the run has the same behind it
 
         for last, (kind, length) in self.automaton.iter(raw.translate(_LOWER).decode("latin-1")):
             attempt(kind, last + 1 - length)
@@ -120,8 +126,14 @@ class Scanner:
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """id and spans (array of kind, start, end; code points, end exclusive), one row per
-    row of ``docs``.  A null or empty text has an empty array; spans are in order of start
-    and then of kind; a null id stays null."""
+    row of ``docs``.
+
+    A null or empty text has an empty array; spans are in order of start and then, where
+    two begin at one place, of kind; a null id stays null.  Every row is scanned by itself,
+    so repeated rows give repeated results; an empty table gives none.  A text of any length
+    is scanned whole: an attempt that fails is not made again inside the run that it failed
+    on, so time is in proportion to the length.
+    """
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
     schema = pa.schema([("id", pa.int64()), ("spans", pa.list_(span))])
 

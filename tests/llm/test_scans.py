@@ -44,6 +44,27 @@ def test_checked_tokens():
     assert found == [("github", good), ("npm", f"npm_{body}{secrets.checksum62(body)}"), ("jwt", jwt), ("pem", pem)]
 
 
+#: Starts of every kind, and what keeps them from being whole.
+STARTS = ["eyJ", "eyJabc", ".", "eyJhbGciOiJub25lIn0", "x" * 16, "-----BEGIN ", "PRIVATE KEY-----", "A ", "-----END ", "RSA ", "QUJD" * 8, "ghp_", "npm_", "token", "=", " ", "AKIA"]
+
+
+@given(st.lists(st.sampled_from(STARTS), max_size=16).map("".join))
+@settings(max_examples=600, deadline=None)
+def test_checked_spans_equal_plain_patterns(text):
+    """Against each pattern searched from every place that the last match left."""
+    for kind in secrets.KINDS[3:]:
+        plain = [(kind, m.start(), m.end()) for m in secrets.PATTERNS[kind].finditer(text) if secrets._holds(kind, m)]
+        assert [x for x in secrets.Scanner()(text) if x[0] == kind] == plain
+
+
+def test_secrets_in_very_long_texts():
+    scan = secrets.Scanner()
+    for filling in ("eyJ" * 700_000, "eyJa." * 400_000, "eyJaaaaaaaaaaaaaaaaaa.eyJ" * 80_000, "token " * 300_000, " " * 3_000_000, "password" + " " * 2_000_000, "-----BEGIN A " * 100_000, "f" * 2_000_000, "AKIA" * 500_000, "-----BEGIN PRIVATE KEY-----" + "QUJD" * 400_000):
+        start = time.perf_counter()
+        assert ("assign", len(filling) + 1, len(filling) + 13) in scan(f"{filling}\ntoken=abcdef")
+        assert time.perf_counter() - start < 10
+
+
 def test_secret_query_columns(spark, tmp_path):
     rows = [(1, 'é token = "abcdef123"', 1), (2, None, 1), (3, "", 1), (None, "AKIA" + "A" * 16, 1), (4, "f" * 100_000, 2)]
     spark.createDataFrame(rows, "doc_id long, text string, spans int").write.parquet(f"{tmp_path}/documents.parquet")
