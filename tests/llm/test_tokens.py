@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 
 import pytest
 import regex
@@ -37,6 +38,27 @@ def test_trie_equals_all_cuts(tokens):
         assert trie.count(t.encode()) == expected == small.count(t.encode())
 
 
+@given(st.text(alphabet="abcé ", min_size=1, max_size=60))
+@settings(max_examples=150, deadline=None)
+def test_long_pretokens_equal_the_trie(token):
+    trie = tokencount.Trie(tokencount.zipf_scores(SMALL))
+    assert trie.count_long(token.encode()) == trie.count(token.encode())
+
+
+def test_token_counts_of_very_long_texts():
+    count = tokencount.Counter(tokencount.zipf_scores(tokencount.read_vocabulary()))
+    word = "".join(random.Random(8).choices("abcdefgh", k=70_000)).encode()
+    assert tokencount.Trie(tokencount.zipf_scores(SMALL), long_bytes=1 << 30).count(word) == tokencount.Trie(tokencount.zipf_scores(SMALL)).count_long(word)
+    for text in (" " * 1_000_000, "x" * 1_000_000, "\n" * 1_000_000, "12 " * 300_000, "eyJ" * 300_000):
+        start = time.perf_counter()
+        pretokens, tokens = count(text)
+        assert pretokens <= tokens <= len(text) and time.perf_counter() - start < 10
+    # neither nodes nor kept stretches grow with the length of a text
+    assert len(count.trie.best) < 1000 and len(count.known) < 1000 and count.held < tokencount.KEPT_BYTES
+    whole = "some words, 12 of them\n" * 30_000  # counted a step at a time
+    assert count(whole) == tuple(30_000 * n for n in count(whole[: len(whole) // 30_000]))
+
+
 @given(st.text(max_size=60) | st.text(alphabet="a 1'st\n\té\xa0,", max_size=60))
 @settings(max_examples=300, deadline=None)
 def test_chunks_hold_whole_pretokens(text):
