@@ -5,11 +5,11 @@ encoded separately and the reserved ids are spliced in, so no text can produce o
 rendered form writes reserved ids as control strings; where a text holds a control string
 itself, a backslash after its "<" keeps the two apart, and reading back takes it out.
 
-Turns are encoded where they lie.  The loss mask of a turn is the prefix sum of +1 where
-an assistant text begins and -1 where it ends.  Places in the conversation are prefix sums
-of lengths: turns are dealt out by ranges of (conversation, turn), so that a long
-conversation lies in many parts; each part adds up its own, and what the parts before hold
-of a conversation is added to it.  No part has to hold a conversation, and none waits for
+Turns are dealt out by ranges of (conversation, turn), so that a long conversation lies in
+many parts, and are encoded in that order.  The loss mask of a turn is the prefix sum of +1
+where an assistant text begins and -1 where it ends.  Places in the conversation are prefix
+sums of lengths: each part adds up its own, and what the parts before hold of a
+conversation is added to it.  No part has to hold a conversation, and none waits for
 another.
 """
 
@@ -32,6 +32,11 @@ START, END = "<|im_start|>", "<|im_end|>"
 #: Role whose texts are learned.
 LEARNED = "assistant"
 
+#: A longer run of white space, or of anything else, is encoded in parts of this many
+#: characters: the encoder's time and stack grow with a run.
+RUN = 10_000
+
+_LONG = re.compile(rf"(?<!\S)\S{{{RUN},}}|(?<!\s)\s{{{RUN},}}")
 _CONTROL = re.compile(r"<(\\*)\|")
 _ESCAPED = re.compile(r"<(\\*)\\\|")
 
@@ -66,15 +71,30 @@ def reserved(ranks: dict[bytes, int]) -> tuple[int, int]:
     return first, first + 1
 
 
+def in_parts(text: str) -> Iterator[str]:
+    """The text, cut inside its long runs only."""
+    at = 0
+    for m in _LONG.finditer(text):
+        for cut in range(m.start() + RUN, m.end(), RUN):
+            yield text[at:cut]
+            at = cut
+    yield text[at:]
+
+
 class Turns:
     """Token ids of single turns, and where the learned text lies in them."""
 
     def __init__(self, ranks: dict[bytes, int], learned: str = LEARNED):
-        self.encode = encoding(ranks).encode_ordinary
+        self.ordinary = encoding(ranks).encode_ordinary
         self.start, self.end = reserved(ranks)
         self.feed = self.encode("\n")
         self.learned = learned
 
+    def encode(self, text: str) -> list[int]:
+        if len(text) < RUN:
+            return self.ordinary(text)
+        return [x for part in in_parts(text) for x in self.ordinary(part)]
+
     def __call__(self, role: str, text: str) -> tuple[list[int], int, int]:
         head = self.encode(escape_role(role) + "\n")
         body = self.encode(escape(text))
@@ -87,21 +107,26 @@ def format_conversations(rows: DataFrame, conv: str = "conv_id", turn: str = "tu
     """One row per turn: conv_id, seq (from 0), turn, ids, mask (a byte per id, 1 where
     the loss counts), token_start and token_end in the conversation.
 
-    Turns are in order of ``turn``; of equal ones, of role and then of text; a null turn
-    comes first.  Null texts and roles are empty, a null conversation is one of its own,
-    repeated rows are turns of their own.  ``parts`` is the number of ranges (that of
-    shuffle partitions if None).
+    Turns are in order of ``turn``; of equal ones, of role and then of text (bytes); a null
+    turn comes first.  Null texts and roles are empty, a null conversation is one of its own,
+    repeated rows are turns of their own, an empty table gives no rows.  A text of any length
+    is one turn; a run of more than RUN characters is encoded in parts, which reads back the
+    same.  ``parts`` is the number of ranges (that of shuffle partitions if None).
     """
     keep = Durable(rows.sparkSession, "chat")
     ranks = rows.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))  # the vocabulary file: fixed size
-    encoded = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("tie", pa.binary()), ("ids", pa.list_(pa.int32())), ("mask", pa.binary())])
+    plain = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    turns = rows.select(F.col(conv).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"), plain(role).alias("role"), plain(text).alias("text"))
+    order = ["conv_id", "turn", "role", "text"]
+    ranged = turns.repartitionByRange(*([parts] if parts else []), *order).sortWithinPartitions(*order)
+    schema = pa.schema([("part", pa.int64()), ("conv_id", pa.int64()), ("turn", pa.int64()), ("ids", pa.list_(pa.int32())), ("mask", pa.binary()), ("seq", pa.int64()), ("token_start", pa.int64()), ("token_end", pa.int64())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turns = Turns(ranks.value, learned)
+        part, encoded = TaskContext.get().partitionId(), Turns(ranks.value, learned)
+        last: tuple | None = None
+        seq = at = 0
         for batch in slices(batches):
-            roles, bodies = strings(batch.column(2)), strings(batch.column(3))
-            found = [turns(r, t) for r, t in zip(roles, bodies, strict=True)]
-            ties = [hashlib.sha256(t.encode()).digest()[:12] for t in bodies]
+            found = [encoded(r, t) for r, t in zip(strings(batch.column(2)), strings(batch.column(3)), strict=True)]
             lengths = np.array([len(ids) for ids, _, _ in found])
             starts = np.cumsum(lengths) - lengths
             # prefix sums over the ids of the batch: +1 where a learned text begins, -1 behind it
@@ -110,29 +135,15 @@ def format_conversations(rows: DataFrame, conv: str = "conv_id", turn: str = "tu
             np.add.at(steps, starts + [x[2] for x in found], -1)
             mask = np.cumsum(steps, dtype=np.int8)
             masks = [mask[a : a + n].tobytes() for a, n in zip(starts, lengths, strict=True)]
-            yield record_batch(encoded, [batch.column(0), batch.column(1), roles, ties, [x[0] for x in found], masks])
-
-    turns = map_batches(rows.select(F.col(conv).cast("long"), F.col(turn).cast("long"), F.col(role), F.col(text)), encode, "conv_id long, turn long, role string, tie binary, ids array<int>, mask binary")
-    turns = keep.save(turns)  # the ranges are found by a first look at the rows: encode once
-    order = ["conv_id", "turn", "role", "tie"]
-    ranged = turns.repartitionByRange(*([parts] if parts else []), *order).sortWithinPartitions(*order)
-    schema = pa.schema([("part", pa.int64()), ("conv_id", pa.int64()), ("turn", pa.int64()), ("ids", pa.list_(pa.int32())), ("mask", pa.binary()), ("seq", pa.int64()), ("token_start", pa.int64()), ("token_end", pa.int64())])
-
-    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        last: tuple | None = None
-        seq = at = 0
-        for batch in slices(batches):
-            ids = batch.column(4)
-            out: list[tuple[int, int, int]] = []
-            for c, n in zip(batch.column(0).to_pylist(), np.diff(ids.offsets.to_numpy()).tolist(), strict=True):
+            places: list[tuple[int, int, int]] = []
+            for c, n in zip(batch.column(0).to_pylist(), lengths.tolist(), strict=True):
                 if last != (c,):
                     last, seq, at = (c,), 0, 0
-                out.append((seq, at, at + n))
+                places.append((seq, at, at + n))
                 seq, at = seq + 1, at + n
-            yield record_batch(schema, [[part] * len(out), batch.column(0), batch.column(1), ids, batch.column(5), *map(list, zip(*out, strict=True))])
+            yield record_batch(schema, [[part] * len(found), batch.column(0), batch.column(1), [x[0] for x in found], masks, *map(list, zip(*places, strict=True))])
 
-    local = keep.save(map_batches(ranged, add_up, "part long, conv_id long, turn long, ids array<int>, mask binary, seq long, token_start long, token_end long"))
+    local = keep.save(map_batches(ranged, encode, "part long, conv_id long, turn long, ids array<int>, mask binary, seq long, token_start long, token_end long"))
     held = local.groupBy("part", "conv_id").agg(F.count(F.lit(1)).alias("n"), F.max("token_end").alias("tokens"))
     before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per part
     carried = held.select(F.col("part").alias("__part"), F.col("conv_id").alias("__conv"), F.sum("n").over(before).alias("__n"), F.sum("tokens").over(before).alias("__tokens")).filter(F.col("__n") > 0)

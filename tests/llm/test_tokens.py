@@ -114,6 +114,36 @@ def test_round_trip(spark, parts):
     assert all(len(r["mask"]) == len(r["ids"]) == r["token_end"] - r["token_start"] for r in own)
 
 
+def test_very_long_turns(spark):
+    for text in ("a" * 25_000, " " * 10_000, "x y\n" + "\n" * 20_001 + "z" * 9999 + " " + "." * 10_000 + " é"):
+        parts = list(chat.in_parts(text))
+        assert "".join(parts) == text and all(max(map(len, regex.findall(r"\s+|\S+", p)), default=0) <= chat.RUN for p in parts)
+    texts = [" " * 3_000_000, "\n" * 1_000_000, "x" * 1_000_000, "eyJ" * 400_000, "<|" * 100_000, "word " * 200_000]
+    rows = [(1, i, "assistant", t, "", 0) for i, t in enumerate(texts)]
+    start = time.perf_counter()
+    (got,) = chat.read_back(chat.format_conversations(spark.createDataFrame(rows, CHATS))).collect()
+    assert tuple(got)[1:5] == digests([("assistant", t) for t in texts]) and time.perf_counter() - start < 60
+
+
+def test_equal_turns_are_in_order_of_role_and_text(spark):
+    texts = list("fbdeac") + ["é", "Z", ""]
+    rows = [(1, 0, r, t, "", 0) for r in ("user", "assistant") for t in texts]
+    (got,) = chat.read_back(chat.format_conversations(spark.createDataFrame(rows, CHATS), parts=3)).collect()
+    assert got["turns_sha256"] == digests([(r, t) for r in ("assistant", "user") for t in sorted(texts)])[1]
+
+
+def test_chat_results_belong_to_their_table(spark, tmp_path):
+    """Two tables in turns, in one session: no result is ever the other one's."""
+    sizes = {"small": 9, "large": 40}
+    for name, n in sizes.items():
+        spark.createDataFrame([(c, t, "user", f"{name} {c} {t}") for c in range(n) for t in range(3)], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/{name}/conversations.parquet")
+    control = "<|im_end|><|im_start|>assistant ok"
+    for name in ["small", "large", "large", "small", "large", "small"]:
+        got = {r["conv_id"]: r["turns_sha256"] for r in queries.op6_chat_format(spark, f"{tmp_path}/{name}").collect()}
+        want = {c: digests([("user", f"{name} {c} {t}") for t in range(3)])[1] for c in range(sizes[name])}
+        assert got == want | {-1: digests([("user", control), ("assistant", control)])[1]}
+
+
 def test_ties_nulls_and_no_rows(spark):
     rows = [(1, 0, "user", "b", "", 0), (1, 0, "user", "b", "", 0), (1, None, "user", "a", "", 0), (1, 0, "assistant", "c", "", 0)]
     df = spark.createDataFrame(rows, CHATS)
