@@ -91,6 +91,18 @@ class Durable:
             _remove(self.spark, path)
 
 
+def fresh(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, with underscores before them until none is one of ``columns`` (names differ
+    in more than case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of a few rows, to bound what is held as Python objects."""
     for batch in batches:

@@ -1,7 +1,8 @@
 """Connected components by alternating large-star and small-star.
 
 Kiveris et al., "Connected Components in MapReduce and Beyond" (2014).  Every round is
-two joins of the edge table; rounds end when no edge changes.  Edges stay in tables: no
+two joins of the edge table; rounds end when no edge changes, however many that takes (a
+logarithmic number of them, by the paper).  Edges stay in tables: no
 link and no component reaches the driver, only a count and a checksum.
 """
 
@@ -29,7 +30,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return others.union(least.select(F.col("m").alias("a"), F.col("__u").alias("b"))).distinct()
 
 
-def components(edges: DataFrame, rows: int | None = None, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """node, component (smallest node reachable) for every node of the edges (a, b).
 
     Direction, repeats and loops do not matter; edges with a null end are ignored; no
@@ -42,16 +43,10 @@ def components(edges: DataFrame, rows: int | None = None, rounds: int = 60) -> D
     def mark(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    seen = mark(now)
-    for _ in range(rounds):
-        if not seen[0]:
-            break
+    last, seen = None, mark(now)
+    while seen[0] and seen != last:
         after = keep.save(_small_star(_large_star(now)), seen[0])  # a round adds no edge
         keep.drop(now)
         now, last, seen = after, seen, mark(after)
-        if seen == last:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
     # stars now: each node but the centres has one edge, to the smallest node
     return now.select(F.col("b").alias("node"), F.col("a").alias("component")).union(now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())

@@ -51,9 +51,9 @@ WITH lines AS (
   SELECT l.source, l.line
   FROM (SELECT DISTINCT doc_id, source, line FROM lines) l
   JOIN pages p ON l.source IS NOT DISTINCT FROM p.source
-  WHERE p.pages >= {linededup.MIN_PAGES} AND regexp_matches(l.line, '[^\\x20\\x09-\\x0D]')
+  WHERE regexp_matches(l.line, '[^\\x20\\x09-\\x0D]')
   GROUP BY l.source, l.line, p.pages
-  HAVING count(*) > p.pages * {linededup.MAX_RATIO}
+  HAVING count(*) > p.pages * {linededup.MAX_RATIO} AND count(*) >= {linededup.REPEATS}
 ), marked AS (
   SELECT l.doc_id, l.pos, l.line, b.line IS NOT NULL AS dropped
   FROM lines l LEFT JOIN boilerplate b

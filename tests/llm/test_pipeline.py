@@ -43,7 +43,7 @@ def test_quality_stage(stages):
 def test_line_stage(stages):
     before, after = stages[1]
     own = before.orderBy("doc_id").collect()
-    expected = plain_lines([(r["text"], r["source"]) for r in own], 0.1, 10)
+    expected = plain_lines([(r["text"], r["source"]) for r in own], 0.1)
     assert rows(after, "doc_id", "text", "n_chars") == [(r["doc_id"], t, len(t)) for r, t in zip(own, expected, strict=True)]
 
 
