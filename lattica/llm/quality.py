@@ -5,12 +5,18 @@ too much repetition inside the text).  Behind them stand adaptive rules: for eac
 language and source, a mergeable KLL sketch of each measure gives quartiles, and a
 document fails when a measure lies outside a fence set from them.  Sketches are partial
 aggregates, so a hot source costs one small sketch per task; sketches of sources merge
-into one per language and one of all, which stand in where a source has few documents.
-Filtering then is a join with the table of fences.
-
-A fence is quartile + spread * max(quartile distance, least distance of the measure).
-The least distance keeps clean documents where a group hardly varies (all symbol shares
-near 0, say), and the spread is wide, so that only what is far from its group goes.
+into one per language and one of all.  Filtering then is a join with the table of fences.
+
+A fence lies ``spread`` times the distance from median to quartile beyond the quartile, and
+nothing else: no floor and no cutoff set by hand.  Quartiles stay put while less than a
+quarter of a group is junk.  The quartiles of a group are drawn towards those of its
+language, and these towards those of all, by weights that fall with the number of
+documents: PRIOR documents' worth, in groups of every size.
+
+A measure is a rate: so many of something in so many words, letters or lines.  What a
+document shows is its rate only up to chance, sqrt(rate / size), so it fails only if the
+rate less DEVIATIONS of that is still outside.  In a group where nobody uses a symbol the
+fence is 0, and a long run of symbols goes while a single one stays.
 """
 
 from __future__ import annotations
@@ -26,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Durable, slices, texts
+from .common import Durable, fresh, slices, texts
 
 WHITE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -35,28 +41,33 @@ WINDOW = 8
 
 @dataclass(frozen=True)
 class Measure:
-    """A share or mean that gets adaptive fences; ``least`` is the least quartile distance."""
+    """A rate, ``count`` per ``size`` (names of counts), with a fence above, or on both sides.
+    ``unit``: how many of the count come together, as words of a repeated window do."""
 
     name: str
-    above: bool
-    below: bool
-    least: float
+    count: str
+    size: str
+    below: bool = False
+    unit: int = 1
 
 
 #: Measures with adaptive fences, from the counts of a document.
 MEASURES = (
-    Measure("symbols_per_word", True, False, 0.03),
-    Measure("mean_word_chars", True, True, 0.6),
-    Measure("dup_line_share", True, False, 0.06),
-    Measure("repeat_share", True, False, 0.06),
-    Measure("echo_share", True, False, 0.02),
-    Measure("bang_share", True, False, 0.02),
-    Measure("upper_share", True, False, 0.03),
+    Measure("symbols_per_word", "n_symbols", "n_words"),
+    Measure("mean_word_chars", "word_chars", "n_words", below=True),
+    Measure("dup_line_share", "n_dup_lines", "n_lines"),
+    Measure("repeat_share", "n_repeat_words", "n_words", unit=2 * WINDOW),
+    Measure("echo_share", "n_echoes", "n_words"),
+    Measure("upper_share", "n_upper", "word_chars"),
 )
-#: Quartile distances from the quartile to the fence.
-SPREAD = 5.0
-#: A group with fewer documents takes the fences of its language, and then of all.
-LEAST_DOCS = 200
+#: From a quartile to its fence, in distances from the median to the quartile.  If rates were
+#: normal, fences would be 4.7 standard deviations from the median.
+SPREAD = 6.0
+#: Standard deviations of a document's own rate that are left to chance.
+DEVIATIONS = 3.0
+#: Documents that a language's quartiles count for in those of a source, and those of all in a
+#: language's.
+PRIOR = 100
 #: Size parameter of the sketches (rank error about 1 %).
 SKETCH_K = 400
 MIN_WORDS = 20
@@ -65,7 +76,7 @@ MAX_REPEAT_PERCENT = 30
 BROADCAST_ROWS = 20_000
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-_EXTRA = ("n_lines", "n_upper", "n_bangs", "n_echoes")
+_EXTRA = ("n_lines", "n_upper", "n_echoes")
 _UPPER = bytes(range(65, 91))
 
 
@@ -101,7 +112,7 @@ def counts_of(text: bytes, n_chars: int) -> tuple[int, ...]:
     white = len(text) - len(text.translate(None, WHITE))
     symbols = len(text) - len(text.translate(None, SYMBOLS))
     upper = len(text) - len(text.translate(None, _UPPER))
-    return len(words), n_chars - white, symbols, len(rows) - len(set(rows)), repeated_words(words), len(rows), upper, text.count(b"!"), sum(map(eq, words, words[1:]))
+    return len(words), n_chars - white, symbols, len(rows) - len(set(rows)), repeated_words(words), len(rows), upper, sum(map(eq, words, words[1:]))
 
 
 def with_counts(docs: DataFrame, text: str = "text", into: str = "__q", carry: list[str] | None = None) -> DataFrame:
@@ -125,20 +136,11 @@ def with_counts(docs: DataFrame, text: str = "text", into: str = "__q", carry: l
     return docs.mapInArrow(work, schema)
 
 
-def measure(name: str, of: str = "__q") -> Column:
-    q = {n: F.col(of).getField(n).cast("double") for n in (*COUNTS, *_EXTRA)}
-    words = F.greatest(q["n_words"], F.lit(1.0))
-    letters = F.greatest(q["word_chars"], F.lit(1.0))
-    return {
-        "symbols_per_word": q["n_symbols"] / words,
-        "mean_word_chars": q["word_chars"] / words,
-        # as if a text had two lines more, so that one repeat in a few lines weighs little
-        "dup_line_share": q["n_dup_lines"] / (q["n_lines"] + 2),
-        "repeat_share": q["n_repeat_words"] / words,
-        "echo_share": q["n_echoes"] / words,
-        "bang_share": q["n_bangs"] / words,
-        "upper_share": q["n_upper"] / letters,
-    }[name]
+def measure(m: Measure, of: str = "__q") -> tuple[Column, Column]:
+    """The rate of a document, and its standard deviation by chance."""
+    count, size = (F.col(of).getField(n).cast("double") / m.unit for n in (m.count, m.size))
+    size = F.greatest(size, F.lit(1.0 / m.unit))
+    return count / size, F.sqrt(count) / size
 
 
 def base_failed(of: str = "__q") -> Column:
@@ -149,52 +151,76 @@ def base_failed(of: str = "__q") -> Column:
 def sketches(measured: DataFrame, lang: str = "lang", source: str = "source", of: str = "__q", k: int = SKETCH_K) -> DataFrame:
     """One row per language and source: number of documents and a sketch per measure, of
     the documents that pass the base rules.  Rows of this table merge further."""
-    return measured.filter(~base_failed(of)).groupBy(F.col(lang).alias("lang"), F.col(source).alias("source")).agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(measure(m.name, of), F.lit(k)).alias(m.name) for m in MEASURES])
+    return measured.filter(~base_failed(of)).groupBy(F.col(lang).alias("lang"), F.col(source).alias("source")).agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(measure(m, of)[0], F.lit(k)).alias(m.name) for m in MEASURES])
+
+
+#: Ranks of the lower quartile, the median and the upper quartile.
+_RANKS = (0.25, 0.5, 0.75)
 
 
-def fences(found: DataFrame, spread: float = SPREAD, least_docs: int = LEAST_DOCS) -> DataFrame:
-    """lang, source, n and low/high of each measure; a thin group takes its language's."""
+def fences(found: DataFrame, spread: float = SPREAD, prior: float = PRIOR) -> DataFrame:
+    """lang, source, n and low/high of each measure."""
 
-    def merged(keys: list[str], mark: str) -> DataFrame:
-        own = [F.col(k).alias(f"{mark}_{k}") for k in keys]
-        return found.groupBy(*own).agg(F.sum("n").alias(f"{mark}_n"), *[F.kll_merge_agg_double(m.name).alias(f"{mark}_{m.name}") for m in MEASURES])
+    def quartiles(sketched: DataFrame, mark: str) -> DataFrame:
+        own = [c for c in ("lang", "source") if c in sketched.columns]
+        points = [F.kll_sketch_get_quantile_double(m.name, F.lit(p)).alias(f"{mark}_{m.name}_{i}") for m in MEASURES for i, p in enumerate(_RANKS)]
+        return sketched.select(*[F.col(c).alias(f"{mark}_{c}") for c in own], F.col("n").cast("double").alias(f"{mark}_n"), *points)
 
-    by_lang = merged(["lang"], "l")
-    of_all = merged([], "a").first()  # one row of sketches, whatever the input
-    rows = found.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang")), "left")
+    def merged(*keys: str) -> DataFrame:
+        return found.groupBy(*keys).agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(m.name).alias(m.name) for m in MEASURES])
+
+    rows = quartiles(found, "s").join(quartiles(merged("lang"), "l"), F.col("s_lang").eqNullSafe(F.col("l_lang")))
+    rows = rows.crossJoin(F.broadcast(quartiles(merged(), "a")))  # one row, whatever the input
     out = []
     for m in MEASURES:
-        best = F.when(F.col("n") >= least_docs, F.col(m.name)).when(F.col("l_n") >= least_docs, F.col(f"l_{m.name}")).otherwise(F.lit(of_all[f"a_{m.name}"]).cast("binary"))
-        low, high = (F.kll_sketch_get_quantile_double(best, F.lit(p)) for p in (0.25, 0.75))
-        reach = F.greatest(high - low, F.lit(m.least)) * spread
-        out += [(low - reach if m.below else F.lit(float("-inf"))).alias(f"{m.name}_low"), (high + reach if m.above else F.lit(float("inf"))).alias(f"{m.name}_high")]
-    return rows.select("lang", "source", "n", *out)
+        points = []
+        for i in range(len(_RANKS)):
+            value = F.col(f"a_{m.name}_{i}")
+            for mark in ("l", "s"):
+                weight = F.col(f"{mark}_n") / (F.col(f"{mark}_n") + F.lit(float(prior)))
+                value = weight * F.col(f"{mark}_{m.name}_{i}") + (1 - weight) * value
+            points.append(value)
+        low, mid, high = points
+        out.append((low - (mid - low) * spread if m.below else F.lit(float("-inf"))).alias(f"{m.name}_low"))
+        out.append((high + (high - mid) * spread).alias(f"{m.name}_high"))
+    return rows.select(F.col("s_lang").alias("lang"), F.col("s_source").alias("source"), F.col("s_n").cast("long").alias("n"), *out)
 
 
 def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", into: str = "__q", verdict: str = "__keep", carry: list[str] | None = None) -> DataFrame:
-    """``carry`` (all columns if None), the struct of counts and the verdict (boolean,
-    never null).
+    """``carry`` (all columns if None), the struct of counts as the column ``into`` and the
+    verdict (boolean, never null) as the column ``verdict``; the two names must be new.
 
     Nulls: a null language or source is a group of its own; a null text fails the base
-    rules.  Repeated rows get equal verdicts.  An empty table gives an empty table.
+    rules, an empty one too.  Repeated rows get equal verdicts; a rate on its fence passes.
+    A text of any length is counted whole.  An empty table gives an empty table.
     """
     keep = Durable(docs.sparkSession, "quality")
-    kept = docs.columns if carry is None else carry
-    # The texts are counted once for the fences and once for the verdicts: cheaper than
-    # to write them out in between.
-    found = keep.save(sketches(with_counts(docs, text, into, [lang, source]), lang, source, into))
-    measured = with_counts(docs, text, into, list(dict.fromkeys([*kept, lang, source])))
+    kept = docs.columns if carry is None else list(dict.fromkeys(carry))
+    needed = list(dict.fromkeys([*kept, lang, source]))
+    if text in kept:
+        # the texts are counted once for the fences and once for the verdicts: cheaper than to
+        # write them out in between
+        found = keep.save(sketches(with_counts(docs, text, into, [lang, source]), lang, source, into))
+        measured = with_counts(docs, text, into, needed)
+    else:
+        measured = keep.save(with_counts(docs, text, into, needed))
+        found = keep.save(sketches(measured, lang, source, into))
     limits = fences(found)
-    limits = keep.save(limits.toDF(*[f"__{c}" for c in limits.columns]), found.count())
+    names = fresh([*needed, into, verdict], *(f"__{c}" for c in limits.columns))
+    of = dict(zip(limits.columns, names, strict=True))
+    limits = keep.save(limits.toDF(*names), found.count())
     few = limits.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    joined = measured.join(F.broadcast(limits) if few else limits, F.col(lang).eqNullSafe(F.col("__lang")) & F.col(source).eqNullSafe(F.col("__source")), "left")
+    joined = measured.join(F.broadcast(limits) if few else limits, F.col(lang).eqNullSafe(F.col(of["lang"])) & F.col(source).eqNullSafe(F.col(of["source"])), "left")
     inside = F.lit(True)
     for m in MEASURES:
-        value = measure(m.name, into)
-        inside = inside & F.coalesce((value >= F.col(f"__{m.name}_low")) & (value <= F.col(f"__{m.name}_high")), F.lit(True))
+        rate, chance = measure(m, into)
+        slack = chance * DEVIATIONS
+        above, below = rate - slack > F.col(of[f"{m.name}_high"]), rate + slack < F.col(of[f"{m.name}_low"])
+        inside = inside & ~F.coalesce(above | below, F.lit(False))
     return joined.select(*[F.col(c) for c in kept], into, (~base_failed(into) & inside).alias(verdict))
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The documents that pass, with their columns."""
-    return judged(docs, text, lang, source).filter(F.col("__keep")).select(*docs.columns)
+    into, verdict = fresh(docs.columns, "__q", "__keep")
+    return judged(docs, text, lang, source, into, verdict).filter(F.col(verdict)).select(*docs.columns)
