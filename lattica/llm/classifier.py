@@ -1,17 +1,19 @@
 """Quality classifier: a convolutional network over bytes, in numpy.
 
-Input are the UTF-8 bytes of a text, where the space before a word that repeats the word
-before it is marked by the byte 1.  Learned filters of WIDTH bytes run over every byte;
-the bytes are laid out in chunks that overlap by WIDTH - 1, so that no window is lost at a
-chunk's end, and the chunks cover the whole text.  Each filter is max-pooled over each
-chunk; the greatest and the mean of the chunk maxima go into one logistic unit.
+Input are the UTF-8 bytes of a text and nothing else.  Learned filters of WIDTH bytes run
+over every byte; the bytes are laid out in chunks that overlap by WIDTH - 1, so that no
+window is lost at a chunk's end, and the chunks cover the whole text.  Each filter is
+max-pooled over each chunk; the greatest and the mean of the chunk maxima go into one
+logistic unit.
 
 A filter is a table of weights by place and byte, so that a window's response is a sum of
 look-ups; pairs of places share one table of 65,536 rows.  Max-pooling makes the gradient
 sparse: only the window that gave a chunk its maximum learns.
 
-The model is fitted on the driver, on at most ``MAX_ROWS`` labelled rows and ``MAX_BYTES``
-bytes of text, a bound that does not grow with the corpus.  Scoring needs no shuffle.
+The model is fitted on the driver, on at most ``MAX_ROWS`` labelled rows of each label,
+whatever their length, a bound that does not grow with the corpus.  A text of more than
+``MAX_CHUNKS`` chunks is learned from by so many stretches of it, evenly spread from its
+first byte to its last.  Scoring covers every byte of every text and needs no shuffle.
 """
 
 from __future__ import annotations
@@ -26,37 +28,29 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, record_batch, slices, texts
 
-WIDTH, FILTERS, CHUNK = 6, 8, 256
-#: Bound of the sample that the model is fitted on: rows of each label, bytes, bytes a text.
+WIDTH, FILTERS, CHUNK = 6, 16, 256
+#: Bound of the sample that the model is fitted on: rows of each label, chunks of a text.
 MAX_ROWS = 2000
-MAX_BYTES = 16 << 20
-MAX_TEXT = 1 << 18
+MAX_CHUNKS = 512
 EPOCHS, BATCH, RATE, SEED = 12, 32, 0.03, 11
 #: Scores from this on are predicted as label 1.
 THRESHOLD = 0.3
 #: Chunks that are looked up at a time.
 SLAB = 256
 
-_MARK = 1
 
+def array_of(text: bytes) -> np.ndarray:
+    return np.frombuffer(text, np.uint8)
 
-def marked(text: bytes) -> np.ndarray:
-    """Bytes of the text, with byte 1 before each word that repeats the word before it."""
-    x = np.frombuffer(text, np.uint8)
-    gaps = np.flatnonzero(x == 32)
-    if len(gaps) < 1:
-        return x
-    first = np.concatenate([[0], gaps + 1])
-    last = np.concatenate([gaps, [len(x)]])
-    n = last - first
-    same = np.flatnonzero((n[1:] == n[:-1]) & (n[1:] > 0))
-    if not len(same):
-        return x
-    again = [i for i in same.tolist() if text[first[i] : last[i]] == text[first[i + 1] : last[i + 1]]]
-    if again:
-        x = x.copy()
-        x[first[np.array(again) + 1] - 1] = _MARK
-    return x
+
+def stretches(text: bytes, most: int = MAX_CHUNKS) -> bytes:
+    """The text, or ``most`` stretches of it if it has more chunks: a chunk each, with zeros
+    instead of the bytes that overlap the next, evenly spread, the first and last included."""
+    if len(text) <= most * CHUNK:
+        return text
+    own = CHUNK - WIDTH + 1
+    starts = np.linspace(0, len(text) - own, most).astype(np.int64)
+    return b"".join(text[a : a + own] + bytes(WIDTH - 1) for a in starts.tolist())
 
 
 def laid_out(inputs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +105,7 @@ class Model:
     def scores(self, inputs: list[np.ndarray], pairs: list[np.ndarray]) -> np.ndarray:
         flat, chunks = laid_out(inputs)
         h = self.pooled(self.maxima(flat, chunks, pairs)[0], chunks)
-        return _sigmoid(h @ self.weights + self.bias)
+        return _sigmoid((h * self.weights).sum(1) + self.bias)  # row by row: the same in any batch
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -132,7 +126,8 @@ class _Adam:
 def fit(rows: list[tuple[bytes, int]], weight: dict[int, float], epochs: int = EPOCHS, seed: int = SEED) -> Model:
     """The network for (text, label) rows; ``weight`` is the weight of a row by its label.
 
-    With one label only, or none, the score is a constant: its share.
+    With one label only, or none, the score is a constant: its share.  Rows are used as they
+    are given, equal ones each.
     """
     rng = np.random.default_rng(seed)
     mass = {y: weight.get(y, 1.0) * sum(1 for _, label in rows if label == y) for y in (0, 1)}
@@ -143,7 +138,7 @@ def fit(rows: list[tuple[bytes, int]], weight: dict[int, float], epochs: int = E
     model.table = rng.normal(0, 0.3, (WIDTH, 256, FILTERS))
     model.table[:, 0] = 0
     model.weights = rng.normal(0, 0.3, 2 * FILTERS)
-    inputs, labels = [marked(t) for t, _ in rows], np.array([y for _, y in rows], float)
+    inputs, labels = [array_of(t) for t, _ in rows], np.array([y for _, y in rows], float)
     share = np.array([weight.get(int(y), 1.0) for y in labels])
     share = share / share.mean()
     steps = _Adam(model.table.shape, RATE), _Adam(model.weights.shape, RATE), _Adam((1,), RATE)
@@ -178,48 +173,62 @@ def fold(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, max_text: int = MAX_TEXT) -> tuple[list[tuple[bytes, int]], dict[int, float]]:
+def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = MAX_ROWS, max_chunks: int = MAX_CHUNKS) -> tuple[list[tuple[bytes, int]], dict[int, float]]:
     """The sample (text, label) and the weight of a row by its label.
 
-    Labelled ids outside fold 0, in order of a hash of the id: the first ``max_rows`` of
-    each label, of texts of at most ``max_text`` bytes, until ``max_bytes`` are reached.
-    Weights restore the shares that the labels have among all labelled rows.
+    Labelled ids outside fold 0, in order of a hash of the id: the first ``max_rows`` of each
+    label.  Labels other than 0 and 1, and of null ids, are left out; an id with both labels
+    counts as 0; of texts with one id the greatest is taken; a null text is an empty one.
+    Long texts come as their stretches().  Weights restore the shares that the labels have
+    among all labelled rows.
     """
-    known = labels.filter(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & (fold(id_col) != 0)).select(F.col(id_col).cast("long").alias("__id"), F.col(label).cast("int").alias("__y"))
+    known = labels.filter(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & (fold(id_col) != 0)).groupBy(F.col(id_col).cast("long").alias("__id")).agg(F.min(F.col(label).cast("int")).alias("__y"))
     counts = {r["__y"]: r["n"] for r in known.groupBy("__y").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
-    spark = docs.sparkSession
-    wanted: dict[int, int] = {}
+    wanted = []
     for y in (0, 1):
-        for r in known.filter(F.col("__y") == y).select("__id").orderBy(F.xxhash64("__id"), "__id").limit(max_rows).collect():
-            wanted.setdefault(r["__id"], y)
+        wanted += [(r["__id"], y) for r in known.filter(F.col("__y") == y).select("__id").orderBy(F.xxhash64("__id"), "__id").limit(max_rows).collect()]
     if not wanted:
         return [], {}
-    chosen = F.broadcast(spark.createDataFrame(list(wanted.items()), "__id long, __y int"))  # at most two times max_rows
-    found = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).join(chosen, F.col("id") == F.col("__id")).filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= max_text)
-    sizes = found.groupBy("id").agg(F.max(F.coalesce(F.octet_length("text"), F.lit(0))).alias("n")).orderBy(F.xxhash64("id"), "id").collect()
-    kept, total = [], 0
-    for r in sizes:
-        total += r["n"]
-        if total > max_bytes:
-            break
-        kept.append((r["id"],))
-    if not kept:
-        return [], {}
-    kept_ids = F.broadcast(spark.createDataFrame(kept, "__kept long"))
-    rows = found.join(kept_ids, F.col("id") == F.col("__kept"), "left_semi").groupBy("id", "__y").agg(F.max("text").alias("text")).collect()
-    sample = [((r["text"] or "").encode(), r["__y"]) for r in sorted(rows, key=lambda r: r["id"])]
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(wanted, "__id long, __y int"))  # at most two times max_rows
+    found = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).join(chosen, F.col("id") == F.col("__id"))
+    once = found.groupBy("id", "__y").agg(F.max("text").alias("text"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([stretches(t, max_chunks) for t in texts(batch.column(2))], pa.binary())], ["id", "y", "text"])
+
+    rows = map_batches(once, cut, "id long, y int, text binary").collect()
+    sample = [(bytes(r["text"]), r["y"]) for r in sorted(rows, key=lambda r: r["id"])]
     drawn = {y: sum(1 for _, z in sample if z == y) for y in (0, 1)}
     return sample, {y: counts.get(y, 0) / drawn[y] for y in (0, 1) if drawn[y]}
 
 
+def _by_bytes(rows: list[bytes], most: int = 1 << 22) -> Iterator[list[bytes]]:
+    """The texts in groups of about ``most`` bytes, or one text."""
+    own, size = [], 0
+    for t in rows:
+        if own and size + len(t) > most:
+            yield own
+            own, size = [], 0
+        own.append(t)
+        size += len(t)
+    if own:
+        yield own
+
+
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """id and score (0 to 1), one row per row of ``docs``; a null text is an empty one, and
-    an empty one has a score too.  Equal texts have equal scores."""
+    an empty one has a score too.  Equal texts have equal scores, a null id stays null, an
+    empty table gives no rows.  A text of any length is scored over all its bytes, SLAB chunks
+    at a time."""
     schema = pa.schema([("id", pa.int64()), ("score", pa.float64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = model.pairs()
         for batch in slices(batches, 64):
-            yield record_batch(schema, [batch.column(0), model.scores([marked(t) for t in texts(batch.column(1))], pairs)])
+            found: list[np.ndarray] = []
+            for own in _by_bytes(texts(batch.column(1))):
+                found.append(model.scores([array_of(t) for t in own], pairs))
+            yield record_batch(schema, [batch.column(0), np.concatenate([*found, np.empty(0)])])
 
     return map_batches(docs.select(F.col(id_col).cast("long"), F.col(text)), work, "id long, score double")

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from lattica.llm import classifier as c
 
 
 def plain_score(model, text):
-    x = c.marked(text)
+    x = c.array_of(text)
     n = -(-(len(x) + c.WIDTH - 1) // c.CHUNK)
     x = np.concatenate([x, np.zeros(n * c.CHUNK + c.WIDTH - len(x), np.uint8)])
     maxima = np.zeros((n, c.FILTERS))
@@ -28,22 +29,49 @@ def a_model(seed=1):
 def test_scores_equal_the_plain_network():
     model = a_model()
     texts = [b"", b"a", b"abc abc abc", "é ü".encode() * 40, bytes(range(32, 127)) * 9, b"x" * c.CHUNK, b"y" * (c.CHUNK * 3 + 1)]
-    together = model.scores([c.marked(t) for t in texts], model.pairs())
+    together = model.scores([c.array_of(t) for t in texts], model.pairs())
     for t, s in zip(texts, together, strict=True):
         assert abs(s - plain_score(model, t)) < 1e-4
-        assert model.scores([c.marked(t)], model.pairs())[0] == s
+        assert model.scores([c.array_of(t)], model.pairs())[0] == s
 
 
 def test_slabs_do_not_change_scores(monkeypatch):
     model, text = a_model(2), b"some words in a row " * 500
-    whole = model.scores([c.marked(text)], model.pairs())
+    whole = model.scores([c.array_of(text)], model.pairs())
     monkeypatch.setattr(c, "SLAB", 3)
-    assert model.scores([c.marked(text)], model.pairs())[0] == whole[0]
-
-
-def test_marks():
-    assert c.marked(b"the the cat cat cat sat").tobytes() == b"the\x01the cat\x01cat\x01cat sat"
-    assert c.marked(b"").tobytes() == b"" and c.marked(b"  a  a").tobytes() == b"  a  a"
+    assert model.scores([c.array_of(text)], model.pairs())[0] == whole[0]
+
+
+def test_stretches_are_spread_over_the_whole_text():
+    text = bytes(range(1, 251)) * 4000
+    assert c.stretches(text[: 4 * c.CHUNK], 4) == text[: 4 * c.CHUNK]
+    got = c.stretches(text, 5)
+    own = c.CHUNK - c.WIDTH + 1
+    assert len(got) == 5 * c.CHUNK
+    assert got[:own] == text[:own] and got[-c.CHUNK :][:own] == text[-own:] and got[2 * c.CHUNK :][:own] in text
+
+
+def test_very_long_texts():
+    model = a_model(4)
+    one = b"word after word, " * 300_000
+    start = time.perf_counter()
+    (score,) = model.scores([c.array_of(one)], model.pairs())
+    assert 0 <= score <= 1 and time.perf_counter() - start < 10
+    assert list(c._by_bytes([b"x" * 9, b"", b"y" * 3, b"zz"], 4)) == [[b"x" * 9], [b"", b"y" * 3], [b"zz"]]
+
+
+def test_labels_of_every_length_are_learned(spark):
+    """What sets the labels apart stands only in texts beyond any number of chunks."""
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice("abcdefgh") * rng.randint(1, 5) + ("$" if i % 2 else "") for _ in range(9000)), 1 - i % 2) for i in range(60)]
+    docs = spark.createDataFrame([(d, t) for d, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, y) for d, _, y in rows] + [(0, 1), (0, 1)], "doc_id long, quality int")
+    sample, weight = c.training_rows(docs, labels, max_chunks=8)
+    held = {r["doc_id"] for r in docs.filter(c.fold() == 0).select("doc_id").collect()}
+    assert len(sample) == 60 - len(held) and {len(t) for t, _ in sample} == {8 * c.CHUNK}
+    model = c.fit(sample, weight)
+    got = {r["id"]: r["score"] for r in c.scored(docs, model).collect()}
+    assert all((got[d] > 0.5) == bool(y) for d, _, y in rows)
 
 
 def test_learns_and_holds_out(spark):
