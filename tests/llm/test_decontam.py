@@ -1,4 +1,5 @@
 import random
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -25,6 +26,13 @@ def test_myers_is_the_edit_distance(pattern, text):
     assert decontam.myers(pattern, text, best - 1) is None
 
 
+@given(st.lists(st.text("ab é", min_size=1, max_size=70), min_size=1, max_size=9), st.text("ab é.", max_size=50))
+@settings(max_examples=200, deadline=None)
+def test_side_by_side_equals_one_by_one(patterns, text):
+    most = [len(p) * 2 // 3 for p in patterns]
+    assert decontam.myers_together(patterns, text, most) == [decontam.myers(p, text, k) for p, k in zip(patterns, most, strict=True)]
+
+
 @given(st.integers(0, 10**6))
 @settings(max_examples=60, deadline=None)
 def test_any_item_within_its_budget_is_found(seed):
@@ -59,6 +67,39 @@ def test_search_equals_brute_force():
         assert {(i, d) for i, d, _, _ in search(text)} == expected
 
 
+def test_templated_items_equal_brute_force_and_are_quick():
+    """Items that share all but a word or two, and texts made from the same template."""
+    rng = random.Random(11)
+    names = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 14))) for _ in range(2000)]
+    ask = "Which of the following cities is the capital of the old kingdom of {}? Choose one of the answers below.".format
+    items = decontam.items_of([(i, ask(n)) for i, n in enumerate(names)])
+    texts = [" ".join(ask(rng.choice(names) if rng.random() < 0.5 else "nowhere" * rng.randint(1, 3)) for _ in range(rng.choice([1, 1, 1, 2, 24]))) for _ in range(30)]
+    search, start = decontam.Searcher(items), time.perf_counter()
+    got = [{(i, d) for i, d, _, _ in search(t)} for t in texts]
+    assert time.perf_counter() - start < 20
+    few = set(rng.sample(range(len(items)), 40))
+    for text, own in zip(texts[:15], got):
+        norm = decontam.normalised(text)
+        expected = {(items[i].item_id, hit[0]) for i in few if (hit := decontam.myers(items[i].text, norm, items[i].budget))}
+        assert {x for x in own if x[0] in few} == expected
+    assert sum(map(len, got)) > 5_000
+
+
+def test_places_with_letters_that_change_their_length():
+    item = "The quick brown fox jumps over the lazy dog"
+    text = "ΣΑΣ İİ ß: the quick brown fox jumps over the lazy dog ΣΑΣ"
+    ((_, _, start, end),) = decontam.Searcher(decontam.items_of([(1, item)]))(text)
+    assert text[start:end] == item.lower()
+
+
+def test_very_long_texts():
+    items = decontam.items_of([(1, ITEM), (2, "short one")])
+    search = decontam.Searcher(items)
+    for filling in (" " * 3_000_000, "what is " * 200_000, "x" * 3_000_000, "the boiling point " * 100_000):
+        start = time.perf_counter()
+        assert [x[0] for x in search(f"{filling} {ITEM}")] == [1] and time.perf_counter() - start < 20
+
+
 ITEM = "what is the boiling point of water at sea level in degrees"
 DOCS = "doc_id long, text string, item_id string, start int"
 
