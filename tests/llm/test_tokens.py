@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import time
+from collections import Counter
 
 import pytest
 import regex
@@ -162,14 +163,25 @@ def test_chat_query_has_the_control_conversation(spark, sf_dir):
     assert {c: tuple(r)[1:5] for c, r in got.items() if c != -1} == {c: digests(own) for c, own in rows.items()}
 
 
+def plain_size(n, later, sizes, cost):
+    """The size with the least cost per token, each filled on trial, longest first."""
+    ways = []
+    for s in sizes:
+        if s >= n:
+            used = n
+            for x in later:
+                used += x if used + x <= s else 0
+            ways.append((cost(min(z for z in sizes if z >= used)) / used, s))
+    return min(ways)[1]
+
+
 def plain_pack(lengths, sizes, cost):
     """Best fit by looking at every bin."""
-    rooms, used, filled, still = [], [], [], sum(lengths)
+    rooms, used, filled = [], [], []
     for step, n in enumerate(lengths):
-        still -= n
         fits = [(rooms[b] - used[b], -filled[b], b) for b in range(len(rooms)) if rooms[b] - used[b] >= n]
         if not fits:
-            rooms.append(min((s for s in sizes if s >= n), key=lambda s: (cost(s) / min(s, n + still), s)))
+            rooms.append(plain_size(n, lengths[step + 1 :], sizes, cost))
             used.append(0)
             filled.append(0)
             b = len(rooms) - 1
@@ -179,6 +191,42 @@ def plain_pack(lengths, sizes, cost):
     return sorted(n for n in used), [min(s for s in sizes if s >= u) for u in used]
 
 
+def test_every_size_is_opened_where_it_costs_least():
+    packer = packing.Packer()
+    opened = lambda lengths, at=0: packer.open_size([-n for n in lengths], at)
+    assert opened([600]) == 1024 and opened([1024] * 2) == 2048 and opened([900] * 2) == 2048
+    assert opened([4000] + [90] * 50) == 4096 and opened([5000, 3000]) == 8192 and opened([9000, 7000]) == 16384
+    # much that is short fills the length that is cheapest by the token
+    assert opened([500] * 1000) == 4096 and opened([16384]) == 16384
+    # in a tail with nothing to fill it, no bin is longer than what it holds
+    places, bins = packer([1000, 600, 500])
+    assert sum(map(packing.sequence_cost, bins)) <= packing.sequence_cost(4096)
+
+
+def test_sequences_hold_the_texts(spark):
+    rng = random.Random(12)
+    rows = [(i, rng.choice(["", "é" * rng.randrange(1, 200), "word " * rng.randrange(1, 90), "x" * 700])) for i in range(90)] + [(500, None), (501, "long ü " * 4000)]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, bin_id int")
+    sizes = (64, 128, 256, 512)
+    bins = packing.sequences(docs, packing.pack(docs, sizes=sizes, block_pieces=50)).collect()
+    texts = {}
+    for b in bins:
+        assert len(b["content"]) <= b["bin_size"] and b["bin_size"] == min(s for s in sizes if s >= len(b["content"]))
+        for p in b["pieces"]:
+            texts.setdefault(p["id"], {})[p["start"]] = bytes(b["content"][p["offset"] : p["offset"] + p["length"]])
+        assert sum(p["length"] for p in b["pieces"]) == len(b["content"])
+    whole = {d: b"".join(own[k] for k in sorted(own)) for d, own in texts.items()}
+    assert whole == {d: (t or "").encode() + packing.END_MARK for d, t in rows}
+
+
+def test_null_ids_and_repeated_rows_go_to_many_blocks(spark):
+    docs = spark.createDataFrame([(None, "x" * (i % 3)) for i in range(3000)] + [(5, "same")] * 3000, "doc_id long, text string")
+    got = packing.pack(docs, sizes=(32, 64), block_pieces=100).collect()
+    assert len(got) == 6000
+    blocks = Counter(r["bin_id"] >> 28 for r in got)
+    assert len(blocks) > 30 and max(blocks.values()) < 300
+
+
 @given(st.lists(st.integers(1, 64), max_size=60))
 @settings(max_examples=150, deadline=None)
 def test_packer_equals_plain_best_fit(lengths):
