@@ -3,8 +3,8 @@
 Nothing outside this folder imports it; the rest of the library works without it.
 Every operator takes and returns DataFrames, runs over whole texts and all rows,
 and states in its docstring what it does with nulls, empty texts, ties, repeated
-rows and empty tables.  Columns that an operator does not name are ignored, so
-clashing extra columns never matter.
+rows and empty tables.  Columns that an operator does not name are ignored or passed
+through; its own helper columns take names that no column has.
 """
 
 import sys

@@ -1,7 +1,8 @@
 """Near-duplicate documents: MinHash, banding, verification, connected components.
 
 1. Signatures.  Words of a text give k-word shingles; each distinct shingle is a 64-bit
-   hash; universal hashes h(x) = a x + b (mod 2^32, a odd) give one minimum each.  Texts
+   hash, and "shingle" means that hash from here on, in full sets too (two shingles of a pair
+   of texts share one by a chance of n^2 / 2^64); universal hashes h(x) = a x + b (mod 2^32, a odd) give one minimum each.  Texts
    with equal shingle sets share a 128-bit fingerprint and go on as one representative
    (the smallest id), so a group of copies costs one row from there on.
 2. Banding.  A bucket is a band and a hash of its minima.  Rows and bands are chosen so
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Durable, map_batches, record_batch, runs, slices, sorted_stream, texts
+from .common import Durable, fresh, map_batches, record_batch, runs, slices, sorted_stream, texts
 from .components import components
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -324,7 +325,8 @@ def near_duplicates(docs: DataFrame, s: Settings | None = None, id_col: str = "d
     A text with fewer words than a shingle is one shingle as a whole; a null or empty text
     (or white space only) has none, is linked with nothing and is its own component.  Rows
     with a null id are left out: they cannot be named in a component.  Repeated rows get
-    equal results; an id with several texts links all of them.  An empty table gives none.
+    equal results; an id with several texts links all of them.  A text of any length has all
+    its shingles in its set.  An empty table gives none.
     """
     s = s or Settings()
     keep = Durable(docs.sparkSession, "minhash")
@@ -366,12 +368,13 @@ def keep_first(docs: DataFrame, s: Settings | None = None, id_col: str = "doc_id
     texts shuffled.
     """
     keep = Durable(docs.sparkSession, "keepfirst")
+    (mark,) = fresh(docs.columns, "__id")
     found = near_duplicates(docs, s, id_col, text).groupBy("id").agg(F.min("component").alias("component"), F.count(F.lit(1)).alias("n")).filter((F.col("id") != F.col("component")) | (F.col("n") > 1))
     found = keep.save(found)
-    gone = keep.save(found.filter(F.col("id") != F.col("component")).select(F.col("id").alias("__id")), found.count())
-    kept = docs.join(_few(gone), F.col(id_col) == F.col("__id"), "left_anti")
-    again = found.filter(F.col("id") == F.col("component")).select(F.col("id").alias("__id"))
+    gone = keep.save(found.filter(F.col("id") != F.col("component")).select(F.col("id").alias(mark)), found.count())
+    kept = docs.join(_few(gone), F.col(id_col) == F.col(mark), "left_anti")
+    again = found.filter(F.col("id") == F.col("component")).select(F.col("id").alias(mark))
     if not again.isEmpty():
-        once = kept.join(again, F.col(id_col) == F.col("__id"), "left_semi").dropDuplicates([id_col])
-        kept = kept.join(again, F.col(id_col) == F.col("__id"), "left_anti").unionByName(once)
+        once = kept.join(again, F.col(id_col) == F.col(mark), "left_semi").dropDuplicates([id_col])
+        kept = kept.join(again, F.col(id_col) == F.col(mark), "left_anti").unionByName(once)
     return kept

@@ -163,7 +163,8 @@ def fences(found: DataFrame, spread: float = SPREAD, prior: float = PRIOR) -> Da
 
     def quartiles(sketched: DataFrame, mark: str) -> DataFrame:
         own = [c for c in ("lang", "source") if c in sketched.columns]
-        points = [F.kll_sketch_get_quantile_double(m.name, F.lit(p)).alias(f"{mark}_{m.name}_{i}") for m in MEASURES for i, p in enumerate(_RANKS)]
+        # a sketch of nothing, as of an empty table, has no quantiles
+        points = [F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double(m.name, F.lit(p))).alias(f"{mark}_{m.name}_{i}") for m in MEASURES for i, p in enumerate(_RANKS)]
         return sketched.select(*[F.col(c).alias(f"{mark}_{c}") for c in own], F.col("n").cast("double").alias(f"{mark}_n"), *points)
 
     def merged(*keys: str) -> DataFrame:
