@@ -37,12 +37,12 @@ def sort_key(ctx: Context, keys: tuple[SortKey, ...]) -> Column:
     for i, k in enumerate(keys):
         x = ctx.compile(k.expr)
         parts.append(F.when(x.isNull(), F.lit(0 if k.nulls else 2)).otherwise(F.lit(1)).alias(f"n{i}"))
-        parts.append((x if k.ascending else _descending(ctx, x)).alias(f"k{i}"))
+        parts.append((x if k.ascending else descending(ctx.type_of(x), x)).alias(f"k{i}"))
     return F.struct(*parts)
 
 
-def _descending(ctx: Context, x: Column) -> Column:
-    own = ctx.type_of(x)
+def descending(own: T.DataType, x: Column) -> Column:
+    """A value that goes down as ``x``, of the type ``own``, goes up."""
     if isinstance(own, (T.DecimalType, T.DoubleType, T.FloatType)):
         return -x
     if isinstance(own, T.NumericType):
@@ -87,7 +87,7 @@ def _sum(ctx: Context, e: Expr) -> Column:
     return F.coalesce(ctx.over_window(F.sum(_arg(ctx, e))), F.lit(0))
 
 
-_PLAIN = {"average": F.avg, "min": F.min, "max": F.max, "stddev": F.stddev_samp, "stddev_pop": F.stddev_pop, "median": F.median, "var": F.var_samp, "approx_distinct": F.approx_count_distinct}
+_PLAIN = {"average": F.avg, "min": F.min, "max": F.max, "stddev": F.stddev_samp, "stddev_pop": F.stddev_pop, "var": F.var_samp, "approx_distinct": F.approx_count_distinct}
 
 
 @aggregate(*_PLAIN)
@@ -95,6 +95,14 @@ def _plain(ctx: Context, e: Expr) -> Column:
     return ctx.over_window(_PLAIN[e.kind](_arg(ctx, e)))
 
 
+@aggregate("median")
+def _median(ctx: Context, e: Expr) -> Column:
+    """Exact, in memory that grows with the distinct values of a group; of a sketch of fixed size
+    under ``approximate``."""
+    x = _arg(ctx, e)
+    return ctx.over_window(F.percentile_approx(x, 0.5) if ctx.options.approximate else F.median(x))
+
+
 @aggregate("first_value", "last_value")
 def _first_last(ctx: Context, e: Expr) -> Column:
     """In the order of the sorted input; without one, of whichever row comes first or last."""
@@ -116,12 +124,14 @@ def _collected(ctx: Context, e: Expr) -> Column:
     """An array of structs with the value as v, nulls kept, in the order asked for."""
     x = _arg(ctx, e)
     keys = e.get("order_by")
+    # of distinct values a task ships each once
+    collect = F.collect_set if e.get("distinct") else F.collect_list
     if keys:
-        rows = F.array_sort(ctx.over_window(F.collect_list(F.struct(sort_key(ctx, tuple(keys)).alias("k"), x.alias("v")))))
+        rows = F.array_sort(ctx.over_window(collect(F.struct(sort_key(ctx, tuple(keys)).alias("k"), x.alias("v")))))
     elif ctx.order is not None:
-        rows = F.array_sort(ctx.over_window(F.collect_list(F.struct(ctx.order.alias("k"), x.alias("v")))))
+        rows = F.array_sort(ctx.over_window(collect(F.struct(ctx.order.alias("k"), x.alias("v")))))
     else:
-        rows = ctx.over_window(F.collect_list(F.struct(x.alias("v"))))
+        rows = ctx.over_window(collect(F.struct(x.alias("v"))))
     values = F.transform(rows, lambda r: r["v"])
     return F.array_distinct(values) if e.get("distinct") else values
 

@@ -22,8 +22,10 @@ from .scalar import WHITE_SPACE
 class Scope:
     """The document at hand and the variables that expressions may use."""
 
-    def __init__(self, schema: T.StructType, variables: Mapping[str, Column] | None = None):
+    def __init__(self, schema: T.StructType, variables: Mapping[str, Column] | None = None, order: Column | None = None):
         self.schema, self.variables = schema, dict(variables or {})
+        #: One value that orders the rows of a group, if they come sorted.
+        self.order = order
 
     def root(self) -> Column:
         return F.struct(*[quoted(f) for f in self.schema.fieldNames()])
@@ -187,16 +189,28 @@ def _percentile(arguments: Any, scope: Scope) -> Column:
     return F.percentile_approx(compile_expression(arguments["input"], scope), [float(p) for p in arguments["p"]])
 
 
-#: $first and $last follow the order of rows in a task; sort and group in one query to rely on it.
+def _edge(first: bool) -> Accumulator:
+    """In the order of the sort before the group; without one, of whichever row comes first or
+    last."""
+
+    def value(arguments: Any, scope: Scope) -> Column:
+        x = compile_expression(arguments, scope)
+        if scope.order is None:
+            return F.first(x) if first else F.last(x)
+        return F.min_by(x, scope.order) if first else F.max_by(x, scope.order)
+
+    return value
+
+
 ACCUMULATORS: dict[str, Accumulator] = {
     "$sum": _of(lambda x: F.coalesce(F.sum(x), F.lit(0))),
     "$avg": _of(F.avg),
     "$min": _of(F.min),
     "$max": _of(F.max),
-    "$first": _of(F.first),
-    "$last": _of(F.last),
+    "$first": _edge(True),
+    "$last": _edge(False),
     "$push": _of(_kept),
-    "$addToSet": _of(lambda x: F.array_distinct(_kept(x))),
+    "$addToSet": _of(lambda x: F.transform(F.collect_set(F.struct(x.alias("v"))), lambda r: r["v"])),
     "$count": lambda arguments, scope: F.count(F.lit(1)),
     "$stdDevSamp": _of(F.stddev_samp),
     "$stdDevPop": _of(F.stddev_pop),

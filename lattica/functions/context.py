@@ -21,10 +21,12 @@ MAX_DEPTH = 512
 class Options:
     """``ansi_nulls``: comparisons with null give null, as in SQL; otherwise every comparison
     is true or false, null equals null and orders nowhere.  ``strict``: a global aggregate of
-    no rows gives no row, and a distinct count counts null as a value."""
+    no rows gives no row, and a distinct count counts null as a value.  ``approximate``: a
+    median comes from a sketch."""
 
     ansi_nulls: bool = False
     strict: bool = False
+    approximate: bool = False
 
 
 @dataclass(frozen=True)

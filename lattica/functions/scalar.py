@@ -206,11 +206,21 @@ def _plain(ctx: Context, e: Expr) -> Column:
     return F.call_function(_PLAIN[e.kind], ctx.compile(e.fields["expr"]))
 
 
+#: From here on every double is a whole number, and soon too large for the 64 bits of one.
+WHOLE_FROM = float(2**53)
+
+
+def _unless_whole(own: T.DataType, x: Column, size: Column, made: Column) -> Column:
+    """``made``, or ``x`` itself if it is a double of a size (of NaN too) that has no fraction."""
+    return F.when(size >= WHOLE_FROM, x).otherwise(made) if isinstance(own, (T.DoubleType, T.FloatType)) else made
+
+
 @scalar("ceil", "floor")
 def _whole(ctx: Context, e: Expr) -> Column:
     """Of the type of the argument."""
     x = ctx.compile(e.fields["expr"])
-    return F.call_function(e.kind, x).cast(ctx.type_of(x))
+    own = ctx.type_of(x)
+    return _unless_whole(own, x, F.abs(x), F.call_function(e.kind, x).cast(own))
 
 
 @scalar("round")
@@ -223,10 +233,11 @@ def _round(ctx: Context, e: Expr) -> Column:
 @scalar("trunc")
 def _trunc(ctx: Context, e: Expr) -> Column:
     x, places = ctx.compile(e.fields["expr"]), e.get("prec")
+    own = ctx.type_of(x)
     if places is None:
-        return F.signum(x) * F.floor(F.abs(x))
+        return _unless_whole(own, x, F.abs(x), F.signum(x) * F.floor(F.abs(x)))
     by = F.pow(F.lit(10.0), ctx.compile(places))
-    return F.signum(x) * F.floor(F.abs(x) * by) / by
+    return _unless_whole(own, x, F.abs(x) * by, F.signum(x) * F.floor(F.abs(x) * by) / by)
 
 
 @scalar("power")
@@ -475,15 +486,16 @@ def _date_part(ctx: Context, e: Expr) -> Column:
 
 @scalar("date_trunc")
 def _date_trunc(ctx: Context, e: Expr) -> Column:
-    """Weeks begin on Sunday."""
+    """Weeks begin on Sunday.  The unit may be an expression; null for one that is unknown."""
     x, unit = ctx.compile(e.fields["expr"]), e.fields["part"]
-    unit = literal_of(unit) if isinstance(unit, Expr) else unit
-    if not isinstance(unit, str):
-        raise UnsupportedExpression("date_trunc needs a literal unit")
-    if unit.lower() == "week":
-        day = F.make_dt_interval(F.lit(1))
-        return F.date_trunc("week", x.cast("timestamp") + day) - day
-    return F.date_trunc(unit, x)
+    day = F.make_dt_interval(F.lit(1))
+    week = F.date_trunc("week", x.cast("timestamp") + day) - day
+    known = literal_of(unit) if isinstance(unit, Expr) else unit
+    if isinstance(known, str):
+        return week if known.lower() == "week" else F.date_trunc(known, x)
+    if not isinstance(unit, Expr) or not isinstance(ctx.type_of(named := ctx.compile(unit)), T.StringType):
+        raise UnsupportedExpression("date_trunc needs a text as its unit")
+    return F.when(F.lower(named) == "week", week).otherwise(F.call_function("date_trunc", named, x))
 
 
 @scalar("to_date", "to_timestamp")

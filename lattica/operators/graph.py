@@ -38,6 +38,14 @@ class Results:
     #: Number of sets of variables, or None.
     sets: int | None = None
     dimensions: list[str] = field(default_factory=list)
+    #: The row set that the parts share, held in memory until release(), if there is one.
+    shared: DataFrame | None = None
+
+    def release(self) -> None:
+        """Gives up the shared row set; the parts still work, from the start."""
+        if self.shared is not None:
+            self.shared.unpersist()
+            self.shared = None
 
     def explain(self) -> str:
         """Plans of all parts."""
@@ -53,7 +61,8 @@ class GraphCompiler:
     def __init__(self, catalog: Catalog, relationships: Mapping[str, Tree] | None = None, variables: Sequence[Mapping[str, Any]] | None = None):
         self.catalog, self.relationships, self.sets = catalog, dict(relationships or {}), variables
         self.number = count()
-        self.related_cache: dict[str, DataFrame] = {}
+        #: How many EXISTS over related rows the predicate at hand stands in.
+        self.depth = 0
 
     def fresh(self, what: str) -> str:
         return f"__{what}{next(self.number)}"
@@ -76,6 +85,7 @@ class GraphCompiler:
         if sum(has.values()) > 1 and (query.get("limit") is not None or query.get("offset")):
             # which rows a limit keeps may differ from run to run: all parts get the same ones
             df = self._mark(df.persist(), df._lattica_order)
+            out.shared = df
         if has["aggregates"]:
             out.aggregates = self.aggregates(df, query["aggregates"], keys)
         if has["groups"]:
@@ -429,16 +439,47 @@ class GraphCompiler:
             df = df.filter(condition).select(*map(quoted, before))
         return df
 
-    def _matching(self, tree: Tree) -> tuple[DataFrame, list[str], Tree]:
-        where = tree["in_collection"]
+    def _matching(self, df: DataFrame, tree: Tree) -> tuple[DataFrame, Column, list[str]]:
+        """Rows that stand for the matches of an EXISTS over related rows, the condition that
+        joins them to ``df``, and their columns.
+
+        A predicate that names columns of rows around it is tried on pairs: each distinct
+        combination of the keys and these columns, joined by key to the related rows.
+        """
+        where, predicate = tree["in_collection"], tree.get("predicate")
         r = self._relationship(where["relationship"])
-        inner = self._target({**where, "predicate": tree.get("predicate")})
-        keyed, names = self._keyed(inner, r)
-        return keyed.select(*map(quoted, names)), names, r
+        outer = self._outer_columns(predicate)
+        if not outer:
+            self.depth += 1
+            inner = self._target({**where, "predicate": predicate})
+            self.depth -= 1
+            keyed, names = self._keyed(inner, r)
+            return keyed.select(*map(quoted, names)), self._on(df, keyed, r, names), names
+        sources = [resolve(df.schema, s.split(".") if s not in df.columns else [s])[0] for s in r["column_mapping"]]
+        mine = [self.fresh("mine") for _ in sources]
+        carried = {name: resolve(df.schema, [column])[0] for name, column in outer.items()}
+        asked = df.select(*[s.alias(m) for s, m in zip(sources, mine, strict=True)], *[c.alias(n) for n, c in carried.items()]).distinct()
+        inner, names = self._keyed(self._target(where), r)
+        on = reduce(lambda a, b: a & b, [quoted(m).eqNullSafe(quoted(n)) for m, n in zip(mine, names, strict=True)])
+        self.depth += 1
+        pairs = self.filter(inner.drop(*[c for c in carried if c in inner.columns]).join(asked, on), predicate)
+        self.depth -= 1
+        held = [self.fresh("held") for _ in (*mine, *carried)]
+        found = pairs.select(*[quoted(c).alias(h) for c, h in zip((*mine, *carried), held, strict=True)]).distinct()
+        return found, reduce(lambda a, b: a & b, [c.eqNullSafe(quoted(h)) for c, h in zip((*sources, *carried.values()), held, strict=True)]), held
+
+    def _outer_columns(self, predicate: Tree | None) -> dict[str, str]:
+        """What a predicate over related rows uses of the rows around them: the name that it is
+        carried by, and its column in the row set at hand."""
+        out: dict[str, str] = {}
+        for back, column in _scoped(predicate, 0):
+            name = _carried(self.depth - back + 1, column)
+            out[name] = column if back == 1 else name
+        return out
 
     def _semi(self, df: DataFrame, tree: Tree) -> DataFrame:
-        inner, names, r = self._matching(tree)
-        return df.join(inner, self._on(df, inner, r, names), "left_semi")
+        inner, on, _ = self._matching(df, tree)
+        return df.join(inner, on, "left_semi")
 
     def condition(self, df: DataFrame, tree: Tree, positive: bool = False) -> tuple[DataFrame, Column]:
         """A condition, and ``df`` with the flag columns that it needs; ``positive`` if null
@@ -460,12 +501,14 @@ class GraphCompiler:
     def _exists(self, df: DataFrame, tree: Tree) -> tuple[DataFrame, Column]:
         where, predicate = tree["in_collection"], tree.get("predicate")
         if where["type"] == "related":  # under "or" or "not": a flag by key
-            inner, names, r = self._matching(tree)
+            inner, on, names = self._matching(df, tree)
             flag = self.fresh("flag")
             inner = inner.distinct().withColumn(flag, F.lit(True))
-            df = df.join(inner, self._on(df, inner, r, names), "left").drop(*names)
+            df = df.join(inner, on, "left").drop(*names)
             return df, F.coalesce(quoted(flag), F.lit(False))
         if where["type"] == "unrelated":
+            if _scoped(predicate, 0):
+                raise NotSupported("columns of the rows around an EXISTS over unrelated rows")
             inner = self.catalog.open(where["collection"], self.arguments(where.get("arguments")))
             inner = self.filter(inner, predicate) if predicate else inner
             return df, inner.select(F.lit(1)).limit(1).exists()
@@ -537,12 +580,39 @@ class GraphCompiler:
         if tree["type"] == "column":
             if tree.get("path"):
                 raise NotSupported("a comparison with a column of a related row")
-            if tree.get("scope") and base is not None:  # a field of the document around the array
-                return quoted(tree["name"])
+            if scope := tree.get("scope"):
+                if base is not None and scope == 1:  # a field of the document around the array
+                    return quoted(tree["name"])
+                if base is not None:
+                    raise NotSupported("columns of rows around the document that holds an array")
+                name = _carried(self.depth - scope, tree["name"])
+                if name not in schema.fieldNames():
+                    raise BadQuery(f"no scope {scope} around {tree['name']}")
+                return resolve(schema, [name, *(tree.get("field_path") or ())])[0]
             return resolve(schema, _path(tree), base)[0]
         raise BadQuery(f"no value of type {tree['type']}")
 
 
+def _carried(depth: int, column: str) -> str:
+    """The name of a column of the rows at a depth, inside the EXISTS below."""
+    return f"__scope{depth}_{column}"
+
+
+def _scoped(tree: Tree | None, level: int) -> set[tuple[int, str]]:
+    """(scopes back, column) of the columns that a predicate names outside its own rows."""
+    if not tree:
+        return set()
+    if tree["type"] in ("and", "or"):
+        return set().union(*[_scoped(e, level) for e in tree["expressions"]])
+    if tree["type"] == "not":
+        return _scoped(tree["expression"], level)
+    if tree["type"] == "exists":
+        return _scoped(tree.get("predicate"), level + 1)
+    v = tree.get("value") or {}
+    back = (v.get("scope") or 0) - level if v.get("type") == "column" else 0
+    return {(back, v["name"])} if back > 0 else set()
+
+
 def _conjuncts(tree: Tree | None) -> list[Tree]:
     if not tree:
         return []
@@ -617,4 +687,5 @@ def execute_request(tree: Tree, catalog: Catalog, declared: Mapping[str, Type] |
         for o in out:
             o["groups"] = []
         put(found.groups, lambda o, v: o["groups"].append({"dimensions": [v[d] for d in found.dimensions], "aggregates": {n: v[n] for n in tree["query"]["groups"]["aggregates"]}}))
+    found.release()
     return out

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..errors import BadQuery, NotSupported
+from ..functions.aggregates import descending
 from ..functions.aggregation import Scope, compile_accumulator, compile_expression
 from ..functions.documents import any_of, literal, quoted, resolve, test
 from ..plans.templates import interpolate
@@ -128,9 +129,8 @@ def _field_condition(pipeline: Pipeline, x: Column, kind: T.DataType, value: Any
 
 @stage("$match")
 def _match(p: Pipeline, df: DataFrame, body: Any) -> DataFrame:
-    if isinstance(body, Column):
-        return df.filter(body)
-    return df.filter(match_document(p, df.schema, body, positive=True))
+    where = body if isinstance(body, Column) else match_document(p, df.schema, body, positive=True)
+    return _sorted_by(df.filter(where), getattr(df, "_lattica_sort", None))
 
 
 # -- columns --------------------------------------------------------------------------------------
@@ -257,17 +257,37 @@ def _sort(p: Pipeline, df: DataFrame, body: Any) -> DataFrame:
     for key, way in body.items():
         x = resolve(df.schema, key.split("."), strict=False)[0]
         keys.append(x.asc_nulls_first() if way == 1 else x.desc_nulls_last())
-    return df.orderBy(*keys)
+    return _sorted_by(df.orderBy(*keys), body)
+
+
+def _sorted_by(df: DataFrame, body: Mapping[str, Any] | None) -> DataFrame:
+    """Notes the sort that a $group behind it relies on."""
+    df._lattica_sort = body
+    return df
+
+
+def _place(df: DataFrame) -> Column | None:
+    """One value that orders rows as the sort before did, or None: with it the first and last
+    of a group need no order of rows in a task, which no shuffle keeps."""
+    body = getattr(df, "_lattica_sort", None)
+    if not body:
+        return None
+    parts = []
+    for i, (key, way) in enumerate(body.items()):
+        x, kind = resolve(df.schema, key.split("."), strict=False)
+        parts.append(F.when(x.isNull(), F.lit(0 if way == 1 else 2)).otherwise(F.lit(1)).alias(f"n{i}"))
+        parts.append((x if way == 1 else descending(kind, x)).alias(f"k{i}"))
+    return F.struct(*parts)
 
 
 @stage("$limit")
 def _limit(p: Pipeline, df: DataFrame, body: Any) -> DataFrame:
-    return df.limit(int(body))
+    return _sorted_by(df.limit(int(body)), getattr(df, "_lattica_sort", None))
 
 
 @stage("$skip")
 def _skip(p: Pipeline, df: DataFrame, body: Any) -> DataFrame:
-    return df.offset(int(body))
+    return _sorted_by(df.offset(int(body)), getattr(df, "_lattica_sort", None))
 
 
 @stage("$count")
@@ -278,7 +298,8 @@ def _count(p: Pipeline, df: DataFrame, body: Any) -> DataFrame:
 
 @stage("$group")
 def _group(p: Pipeline, df: DataFrame, body: Any) -> DataFrame:
-    scope = p.scope(df)
+    edges = any(set(v) & {"$first", "$last"} for k, v in body.items() if k != "_id")
+    scope = Scope(df.schema, p.variables, _place(df) if edges else None)
     own = [compile_accumulator(v, scope).alias(k) for k, v in body.items() if k != "_id"]
     key = body.get("_id")
     if key is None:
@@ -340,8 +361,10 @@ def _lookup(p: Pipeline, df: DataFrame, body: Any) -> DataFrame:
         pairs += [(x, path) for x, path in found]
     if not pairs:
         rows = p.run(stages, other)
-        whole = rows.agg(F.collect_list(F.struct("*")).alias(as_name))
-        return df.crossJoin(F.broadcast(whole)) if let is None else _no_keys()
+        if let is not None:
+            _no_keys()
+        whole = _one_row(rows, as_name)
+        return df.crossJoin(F.broadcast(whole))  # one row, of a checked size
     keyed = other.select("*", *[resolve(other.schema, path, strict=False)[0].alias(f"__key{i}") for i, (_, path) in enumerate(pairs)])
     names = [f"__key{i}" for i in range(len(pairs))]
     if any(next(iter(s)) in ("$limit", "$skip", "$group", "$count", "$facet") for s in stages):
@@ -355,6 +378,19 @@ def _lookup(p: Pipeline, df: DataFrame, body: Any) -> DataFrame:
     return joined.select(*[quoted(c) for c in df.columns if c != as_name], F.coalesce("__rows", F.array().cast(kind)).alias(as_name))
 
 
+#: Bytes (as JSON) that one array of whole rows may hold.
+ARRAY_BYTES = 64 << 20
+
+
+def _one_row(rows: DataFrame, name: str) -> DataFrame:
+    """All rows as one array, which some row then has to hold: an error if they are too large
+    for that, found before they are brought together."""
+    size = rows.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    if size > ARRAY_BYTES:
+        raise NotSupported(f"{name} would be one array of {size} bytes; at most {ARRAY_BYTES} go into one")
+    return rows.agg(F.collect_list(F.struct("*")).alias(name))
+
+
 def _no_keys() -> DataFrame:
     raise NotSupported("a lookup with variables needs an equality with one of them")
 
@@ -400,11 +436,11 @@ def _take_equalities(stages: list, mine: Mapping[str, Column]) -> tuple[list, li
 
 @stage("$facet")
 def _facet(p: Pipeline, df: DataFrame, body: Any) -> DataFrame:
-    """One row with an array per branch, each the rows of its stages."""
+    """One row with an array per branch, each the rows of its stages, of a checked size; for
+    more see facets()."""
     out = None
     for name, stages in body.items():
-        rows = p.run(stages, df)
-        part = rows.agg(F.collect_list(F.struct("*")).alias(name))
+        part = _one_row(p.run(stages, df), name)
         out = part if out is None else out.crossJoin(part)  # one row each
     if out is None:
         raise BadQuery("$facet needs a branch")

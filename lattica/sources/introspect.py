@@ -23,6 +23,7 @@ from ..types import ANY, BOTTOM, SCALARS, TOP, ListOf, Named, Nullable, ObjectTy
 Objects = dict[str, ObjectType]
 
 SAMPLE_SIZE = 10_000
+SAMPLE_SEED = 5
 
 
 @dataclass
@@ -101,12 +102,13 @@ def _merged(a: Objects, b: Objects) -> Objects:
 
 
 def sample_frame(name: str, df: DataFrame, size: int = SAMPLE_SIZE, all_nullable: bool = True) -> CollectionSchema | None:
-    """Schema of a table.  A column of JSON documents named ``document`` is sampled, ``size``
-    rows at most; typed columns say what they are."""
+    """Schema of a table.  A column of JSON documents named ``document`` is sampled: ``size``
+    rows at most, drawn from all of them (a scan that keeps the smallest of ``size`` random
+    numbers a task); typed columns say what they are."""
     if df.columns == ["document"]:
         import json
 
-        rows = df.select(F.col("document").cast("string")).filter(F.col("document").isNotNull()).limit(size).collect()
+        rows = df.select(F.col("document").cast("string")).filter(F.col("document").isNotNull()).orderBy(F.rand(SAMPLE_SEED)).limit(size).collect()
         return sample_documents(name, [json.loads(r[0]) for r in rows], all_nullable)
     if df.isEmpty():
         return None

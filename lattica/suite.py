@@ -6,19 +6,25 @@ relational query are by place; each query gives its columns the names of its SQL
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .operators.graph import compile_request
+from .errors import error_response
+from .functions.context import Options
+from .operators.graph import compile_request, execute_request
 from .operators.pipeline import Pipeline, facets, nearest, pipeline_view
 from .operators.relational import compile_relation
 from .plans import graph as G
 from .plans.relational import Relation, SetOperation, Union, Aggregate, asc, call, col, desc, eq, gt, gt_eq, lit, lt, lt_eq, not_eq, scan
 from .sources.catalog import TABLES, Catalog
+from .sources.introspect import objects_json, sample_frame
+from .sources.schema import schema_response
 from .streaming.events import sessions, windowed
+from .streaming.rows import buffered, streamed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,6 +36,8 @@ def catalog_of(spark: SparkSession, sf_dir: str) -> Catalog:
     rows = lambda name: catalog.open(name)
     turn = F.struct("turn", "role", "text")
     catalog.add("chats", lambda: rows("conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns")))
+    info = F.struct(F.col("o_custkey").alias("cust"), F.col("o_totalprice").alias("price"), F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderpriority")).alias("$level"))
+    catalog.add("boxes", lambda: rows("orders").select(F.col("o_orderkey").alias("key"), info.alias("info")))
     catalog.add("regions", lambda: rows("nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list("n_name")).alias("names"), F.array_sort(F.collect_list(F.struct(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name")))).alias("nations")))
     return catalog
 
@@ -44,8 +52,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def run(spark: SparkSession, sf_dir: str, relation: Relation, names: str) -> DataFrame:
-    return compile_relation(relation, catalog_of(spark, sf_dir)).toDF(*names.split())
+def run(spark: SparkSession, sf_dir: str, relation: Relation, names: str, options: Options = Options()) -> DataFrame:
+    return compile_relation(relation, catalog_of(spark, sf_dir), options).toDF(*names.split())
 
 
 def fn(kind: str, *args, **named):
@@ -168,19 +176,10 @@ def q_multi_key_join(spark, sf_dir):
     return run(spark, sf_dir, r, "l_orderkey l_linenumber l_quantity")
 
 
-@query("""
-WITH b AS (SELECT o_custkey, CASE WHEN o_totalprice > 150000 THEN o_orderpriority END AS k FROM orders WHERE o_custkey <= 40)
-SELECT coalesce(x.k, '-') AS k, count(*) AS n FROM b x JOIN b y ON x.k IS NOT DISTINCT FROM y.k GROUP BY 1""")
-def q_null_join_keys(spark, sf_dir):
-    b = scan("orders", ["o_custkey", "o_totalprice", "o_orderpriority"]).filter(lt_eq(col(0), 40)).project(fn("case", [(gt(col(1), 150000.0), col(2))]))
-    r = b.join(b, [(col(0), col(0))]).aggregate([col(0)], [fn("count")]).project(fn("coalesce", col(0), lit("-")), col(1))
-    return run(spark, sf_dir, r, "k n")
-
-
 @query("""
 WITH b AS (SELECT CASE WHEN o_totalprice > 150000 THEN o_orderpriority END AS k FROM orders)
 SELECT coalesce(x.k, '-') AS k, CAST(sum(n) AS BIGINT) AS n FROM b x JOIN (SELECT k, count(*) AS n FROM b GROUP BY 1) y ON x.k IS NOT DISTINCT FROM y.k GROUP BY 1""")
-def q_null_join_keys_all(spark, sf_dir):
+def q_null_join_keys(spark, sf_dir):
     b = scan("orders", ["o_totalprice", "o_orderpriority"]).project(fn("case", [(gt(col(0), 150000.0), col(1))]))
     keys = b.aggregate([col(0)], [fn("count")])
     r = b.join(keys, [(col(0), col(0))]).aggregate([col(0)], [total(col(2))]).project(fn("coalesce", col(0), lit("-")), col(1))
@@ -338,18 +337,11 @@ def q_strings_2(spark, sf_dir):
     return run(spark, sf_dir, r, "c_custkey a b c d e f g h i j k")
 
 
-@query("SELECT doc_id, length(text) AS a, left(reverse(text), 20) AS b, lower(left(text, 30)) AS c, instr(text, 'é') AS d, substr(text, 5, 9) AS e FROM documents")
+@query("SELECT doc_id, length(text) AS a, left(reverse(text), 20) AS b, md5(lower(text)) AS c, instr(text, 'é') AS d, substr(text, 5, 9) AS e FROM documents")
 def q_strings_3(spark, sf_dir):
     text = col(1)
-    r = scan("documents", ["doc_id", "text"]).project(col(0), fn("character_length", text), fn("left", fn("reverse", text), lit(20)), fn("to_lower", fn("left", text, lit(30))), fn("str_pos", text, "é"), fn("substr", text, lit(5), lit(9)))
-    return run(spark, sf_dir, r, "doc_id a b c d e")
-
-
-@query("SELECT doc_id, left(text, 30) AS a, md5(lower(text)) AS b FROM documents")
-def q_strings_3_all(spark, sf_dir):
-    text = col(1)
-    r = scan("documents", ["doc_id", "text"]).project(col(0), fn("left", text, lit(30)), fn("to_lower", text))
-    return run(spark, sf_dir, r, "doc_id a b").withColumn("b", F.md5("b"))
+    r = scan("documents", ["doc_id", "text"]).project(col(0), fn("character_length", text), fn("left", fn("reverse", text), lit(20)), fn("to_lower", text), fn("str_pos", text, "é"), fn("substr", text, lit(5), lit(9)))
+    return run(spark, sf_dir, r, "doc_id a b c d e").withColumn("c", F.md5("c"))
 
 
 @query("""
@@ -436,6 +428,35 @@ def q_literals(spark, sf_dir):
     return run(spark, sf_dir, r, "o_orderkey a b c d e f g h")
 
 
+@query("""
+SELECT o_orderkey, o_totalprice * 1e295 AS a, -o_totalprice * 1e295 AS b, o_totalprice * 1e295 AS c, o_totalprice * 1e295 AS d, o_orderkey % 2 = 0 AS e, ceil(o_totalprice * -7) AS f, floor(o_totalprice * -7) AS g,
+  trunc(o_totalprice * -7) AS h, round_even((o_orderkey % 10 + 1) * -1.5::DOUBLE, 0) AS i, ceil(o_totalprice * 1e10) AS j FROM orders""")
+def q_round_large(spark, sf_dir):
+    key, price = col(0), col(1)
+    large = price * lit(1e295)
+    nan = fn("case", [(eq(key % lit(2), 0), fn("cast", lit("NaN"), {"type": "float64"}))], default=price)
+    r = scan("orders", ["o_orderkey", "o_totalprice"]).project(key, fn("ceil", large), fn("floor", -large), fn("trunc", large), fn("trunc", large, lit(1)), fn("is_nan", nan), fn("ceil", price * lit(-7)), fn("floor", price * lit(-7)), fn("trunc", price * lit(-7)), fn("round", (key % lit(10) + lit(1)) * lit(-1.5)), fn("ceil", price * lit(1e10)))
+    return run(spark, sf_dir, r, "o_orderkey a b c d e f g h i j")
+
+
+@query("""
+SELECT o_orderkey, epoch_ms(CASE u WHEN 'week' THEN date_trunc('week', o_orderdate + INTERVAL 1 DAY) - INTERVAL 1 DAY ELSE date_trunc(u, o_orderdate) END) AS a FROM
+  (SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS o_orderdate, CASE o_orderkey % 4 WHEN 0 THEN 'year' WHEN 1 THEN 'month' WHEN 2 THEN 'week' ELSE 'day' END AS u FROM orders)""")
+def q_date_trunc_unit(spark, sf_dir):
+    unit = fn("case", [(lit(0), "year"), (lit(1), "month"), (lit(2), "week")], scrutinee=col(0) % lit(4), default=lit("day"))
+    r = scan("orders", ["o_orderkey", "o_orderdate"]).project(col(0), fn("cast", fn("date_trunc", col(1), part=unit), {"type": "duration"}))
+    return run(spark, sf_dir, r, "o_orderkey a")
+
+
+@query("""
+SELECT o_orderkey, epoch_ms(o_orderdate) AS a, epoch_ms(o_orderdate) AS b, '{"months":0,"days":0,"millis":' || epoch_ms(o_orderdate) || '}' AS c, '{"months":0,"days":0,"millis":' || o_orderkey || '}' AS d FROM orders""")
+def q_to_date(spark, sf_dir):
+    key, day = col(0), col(1)
+    cast = lambda e, t: fn("cast", e, {"type": t})
+    r = scan("orders", ["o_orderkey", "o_orderdate"]).project(key, cast(fn("to_date", cast(day, "utf8")), "duration"), cast(fn("to_date", cast(day, "duration")), "duration"), cast(cast(day, "interval"), "utf8"), cast(cast(key, "interval"), "utf8"))
+    return run(spark, sf_dir, r, "o_orderkey a b c d")
+
+
 # -- aggregates and windows ---------------------------------------------------------------------
 
 
@@ -445,6 +466,13 @@ def q_agg_distinct(spark, sf_dir):
     return run(spark, sf_dir, r, "l_returnflag a b c")
 
 
+@query("SELECT o_orderstatus, count(DISTINCT k) + max((k IS NULL)::BIGINT) AS a, count(k) AS b FROM (SELECT o_orderstatus, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS k FROM orders) GROUP BY 1")
+def q_agg_distinct_null(spark, sf_dir):
+    """Null is a value of a distinct count, by option."""
+    r = scan("orders", ["o_orderkey", "o_orderstatus", "o_orderpriority"]).project(col(1), _half(col(2))).aggregate([col(0)], [fn("count", col(1), True), fn("count", col(1))])
+    return run(spark, sf_dir, r, "o_orderstatus a b", Options(strict=True))
+
+
 @query("""
 SELECT l_returnflag, round(stddev_samp(l_quantity), 6) AS a, round(stddev_pop(l_quantity), 6) AS b, round(median(l_quantity), 6) AS c, round(var_samp(l_quantity), 6) AS d, min(l_shipdate) = min(l_shipdate) AS e,
   coalesce(sum(CASE WHEN l_quantity < 0 THEN l_quantity END), 0) AS f FROM lineitem GROUP BY 1""")
@@ -475,11 +503,12 @@ def q_agg_bool(spark, sf_dir):
     return run(spark, sf_dir, r, "l_returnflag a o")
 
 
-@query("SELECT l_returnflag, abs(quantile_disc(l_quantity, 0.9) - 45) < 3 AS p, approx_count_distinct(l_linenumber) > 0 AS d FROM lineitem GROUP BY 1")
+@query("SELECT l_returnflag, quantile_disc(l_quantity, 0.9) AS p, true AS d, true AS m FROM lineitem GROUP BY 1")
 def q_agg_percentile(spark, sf_dir):
-    r = scan("lineitem", ["l_returnflag", "l_quantity", "l_linenumber"]).aggregate([col(0)], [fn("approx_percentile_cont", col(1), percentile=0.9), fn("approx_distinct", col(2))])
-    r = r.project(col(0), lt(fn("abs", col(1) - lit(45)), 3), gt(col(2), 0))
-    return run(spark, sf_dir, r, "l_returnflag p d")
+    """The approximate percentile is the value of its rank, a distinct count is within a tenth."""
+    r = scan("lineitem", ["l_returnflag", "l_quantity", "l_partkey"]).aggregate([col(0)], [fn("approx_percentile_cont", col(1), percentile=0.9), fn("approx_distinct", col(2)), fn("count", col(2), True), fn("median", col(1))])
+    near = lt_eq(fn("abs", col(2) - col(3)) * lit(10), col(3))
+    return run(spark, sf_dir, r.project(col(0), col(1), near, gt(col(4), 0)), "l_returnflag p d m")
 
 
 @query("SELECT event_type, arg_min(event_id, (ts, event_id)) AS a, arg_max(event_id, (ts, event_id)) AS b FROM events GROUP BY 1")
@@ -551,12 +580,16 @@ RELATIONSHIPS = {
     "nation": G.relationship("nation", {"c_nationkey": "n_nationkey"}, "object"),
     "region": G.relationship("region", {"n_regionkey": "r_regionkey"}, "object"),
     "customers": G.relationship("customer", {"n_nationkey": "c_nationkey"}),
+    "buyer": G.relationship("customer", {"info.cust": "c_custkey"}, "object"),
     "pair_lines": G.relationship("lineitem", {"l_orderkey": "l_orderkey", "l_linenumber": "l_linenumber"}),
 }
 
 
-def ask(spark: SparkSession, sf_dir: str, collection: str, query: G.Tree, variables=None):
-    return compile_request(G.request(collection, query, relationships=RELATIONSHIPS, variables=variables), catalog_of(spark, sf_dir))
+def ask(spark: SparkSession, sf_dir: str, collection: str, query: G.Tree, variables=None, arguments=None, views=()):
+    catalog = catalog_of(spark, sf_dir)
+    for view in views:
+        catalog.add_view(view)
+    return compile_request(G.request(collection, query, arguments, RELATIONSHIPS, variables), catalog)
 
 
 CHEAP = G.binop("_lt", G.target("o_totalprice"), G.value(100000))
@@ -656,16 +689,8 @@ def q_rel_groups(spark, sf_dir):
     return rows.select("c_custkey", F.array_join(each, ",").alias("g"))
 
 
-@query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem WHERE l_orderkey < 500 GROUP BY ALL")
-def q_rel_two_keys(spark, sf_dir):
-    inner = G.query(aggregates={"n": G.star_count()})
-    q = G.query(fields={"l_orderkey": G.field("l_orderkey"), "l_linenumber": G.field("l_linenumber"), "p": G.related_field("pair_lines", inner)}, predicate=G.binop("_lt", G.target("l_orderkey"), G.value(500)))
-    rows = ask(spark, sf_dir, "lineitem", q).rows
-    return rows.select("l_orderkey", "l_linenumber", F.col("p.aggregates.n").alias("n")).distinct()
-
-
 @query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL")
-def q_rel_two_keys_all(spark, sf_dir):
+def q_rel_two_keys(spark, sf_dir):
     inner = G.query(aggregates={"n": G.star_count()})
     q = G.query(fields={"l_orderkey": G.field("l_orderkey"), "l_linenumber": G.field("l_linenumber"), "p": G.related_field("pair_lines", inner)})
     rows = ask(spark, sf_dir, "lineitem", q).rows
@@ -686,6 +711,46 @@ def q_exists_under_or(spark, sf_dir):
     return ask(spark, sf_dir, "customer", q).rows
 
 
+@query("""
+SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND (o_totalprice < c_acctbal OR o_totalprice > 480000))""")
+def q_exists_scoped(spark, sf_dir):
+    """A column of the customer inside the condition on its orders."""
+    inner = G.or_(G.binop("_lt", G.target("o_totalprice"), G.column_value("c_acctbal", scope=1)), G.binop("_gt", G.target("o_totalprice"), G.value(480000)))
+    return ask(spark, sf_dir, "customer", G.query(fields={"c_custkey": G.field("c_custkey")}, predicate=G.exists(G.related("orders"), inner))).rows
+
+
+@query("""
+SELECT c_custkey FROM customer WHERE c_acctbal < -900 OR NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND EXISTS
+  (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_suppkey > c_nationkey AND l_extendedprice > o_totalprice))""")
+def q_exists_scoped_twice(spark, sf_dir):
+    """Columns of the order and of its customer inside the condition on a line, under "not"."""
+    inner = G.and_(G.binop("_gt", G.target("l_suppkey"), G.column_value("c_nationkey", scope=2)), G.binop("_gt", G.target("l_extendedprice"), G.column_value("o_totalprice", scope=1)))
+    orders = G.exists(G.related("orders"), G.exists(G.related("lines"), inner))
+    poor = G.binop("_lt", G.target("c_acctbal"), G.value(-900))
+    return ask(spark, sf_dir, "customer", G.query(fields={"c_custkey": G.field("c_custkey")}, predicate=G.or_(poor, G.not_(orders)))).rows
+
+
+@query("""
+SELECT level, count(*) AS n, max(price) AS top, round(sum(price), 2) AS total FROM (SELECT o_totalprice AS price, CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS level FROM orders)
+  WHERE NOT (level IS NULL) OR price > 400000 GROUP BY 1""")
+def q_nested_aggregate(spark, sf_dir):
+    """Aggregates, dimensions and null tests on nested paths, and a name with a dollar sign."""
+    price = ("info", "price")
+    some = G.or_(G.not_(G.is_null(G.target("info", "$level"))), G.binop("_gt", G.target(*price), G.value(400000)))
+    q = G.query(predicate=some, groups=G.groups([G.dimension("info", "$level")], {"n": G.star_count(), "top": G.column_aggregate("max", *price), "total": G.column_aggregate("sum", *price)}))
+    out = ask(spark, sf_dir, "boxes", q)
+    return out.groups.select(F.col(out.dimensions[0]).alias("level"), "n", "top", F.round("total", 2).alias("total"))
+
+
+@query("SELECT o_orderkey AS key, CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS level, c_name AS buyer FROM orders LEFT JOIN customer ON c_custkey = o_custkey WHERE o_orderkey % 3 = 0 OR o_orderpriority LIKE '1%'")
+def q_rel_nested_key(spark, sf_dir):
+    """A relationship from a nested field, and a field whose name has a dollar sign."""
+    some = G.or_(G.is_null(G.target("info", "$level")), G.binop("_regex", G.target("info", "$level"), G.value("^1")))
+    fields = {"key": G.field("key"), "info": G.field("info", G.nested_object(level=G.field("$level"))), "buyer": G.related_field("buyer", G.query(fields={"name": G.field("c_name")}))}
+    rows = ask(spark, sf_dir, "boxes", G.query(fields=fields, predicate=some)).rows
+    return rows.select("key", F.col("info.level").alias("level"), F.get("buyer.rows", F.lit(0))["name"].alias("buyer"))
+
+
 @query("SELECT r_name FROM region WHERE EXISTS (SELECT 1 FROM supplier WHERE s_acctbal > 9000) AND NOT EXISTS (SELECT 1 FROM supplier WHERE s_acctbal > 1e9)")
 def q_exists_unrelated(spark, sf_dir):
     rich = lambda n: G.exists(G.unrelated("supplier"), G.binop("_gt", G.target("s_acctbal"), G.value(n)))
@@ -768,6 +833,24 @@ def q_foreach_aggregates(spark, sf_dir):
     return ask(spark, sf_dir, "customer", q, SETS).aggregates.withColumnRenamed("__set", "s")
 
 
+_DEAR = pipeline_view("dear", [{"$match": {"o_totalprice": {"$gte": "{{ least }}"}, "o_orderstatus": "{{ status | string }}"}}], {"least": T.DoubleType(), "status": T.StringType()}, "orders")
+
+
+@query("SELECT s, o_orderkey FROM (VALUES (0, 300000), (1, 350000), (2, 300000)) AS v(s, p) JOIN orders ON o_totalprice >= p AND o_orderstatus = 'F'")
+def q_variable_argument(spark, sf_dir):
+    """Arguments of a view from each set of variables, and a literal one."""
+    arguments = {"least": G.variable("p"), "status": {"type": "literal", "value": "F"}}
+    out = ask(spark, sf_dir, "dear", G.query(fields={"o_orderkey": G.field("o_orderkey")}), [{"p": 300000.0}, {"p": 350000.0}, {"p": 300000.0}], arguments, [_DEAR])
+    return out.rows.withColumnRenamed("__set", "s")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 250000 AND o_orderstatus <> 'P'")
+def q_predicate_argument(spark, sf_dir):
+    catalog = catalog_of(spark, sf_dir)
+    catalog.add_view(pipeline_view("where", [{"$match": "{{ condition }}"}, {"$match": {"o_orderstatus": {"$ne": "P"}}}], {"condition": None}, "orders"))
+    return catalog.open("where", {"condition": F.col("o_totalprice") > 250000}).select("o_orderkey", "o_totalprice")
+
+
 # -- pipelines and views ------------------------------------------------------------------------------
 
 
@@ -842,6 +925,36 @@ def q_pipeline_facet(spark, sf_dir):
     return found["big"].crossJoin(found["small"])  # one row each
 
 
+@query("""
+SELECT (SELECT count(*) FROM orders WHERE o_totalprice > 200000) AS big, (SELECT count(DISTINCT o_orderpriority) FROM orders) AS kinds,
+  (SELECT string_agg(o_orderpriority, ',' ORDER BY n DESC, o_orderpriority) FROM (SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1)) AS by_count, 0 AS none""")
+def q_pipeline_facet_stage(spark, sf_dir):
+    catalog = catalog_of(spark, sf_dir)
+    body = {"big": [{"$match": {"o_totalprice": {"$gt": 200000}}}, {"$count": "n"}], "kinds": [{"$group": {"_id": "$o_orderpriority", "n": {"$sum": 1}}}], "none": [{"$match": {"o_orderkey": -1}}, {"$project": {"o_orderkey": 1}}]}
+    df = Pipeline(catalog).run([{"$facet": body}], catalog.open("orders"))
+    kinds = F.array_sort(F.transform("kinds", lambda k: F.struct((-k["n"]).alias("n"), k["_id"].alias("k"))))
+    return df.select(F.get("big", F.lit(0))["n"].alias("big"), F.size("kinds").cast("long").alias("kinds"), F.array_join(F.transform(kinds, lambda k: k["k"]), ",").alias("by_count"), F.size("none").alias("none"))
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_totalprice > 100000 ORDER BY o_totalprice DESC, o_orderkey LIMIT 25 OFFSET 40")
+def q_pipeline_skip(spark, sf_dir):
+    catalog = catalog_of(spark, sf_dir)
+    stages = [{"$match": {"o_totalprice": {"$gt": 100000}}}, {"$sort": {"o_totalprice": -1, "o_orderkey": 1}}, {"$skip": 40}, {"$limit": 25}, {"$project": {"o_orderkey": 1}}]
+    return Pipeline(catalog).run(stages, catalog.open("orders"))
+
+
+@query("""
+SELECT o_custkey AS _id, arg_min(o_orderkey, (-o_totalprice, o_orderkey)) AS dearest, arg_max(o_orderkey, (-o_totalprice, o_orderkey)) AS cheapest, count(*) AS n, count(DISTINCT o_orderstatus) AS kinds, round(stddev_pop(o_totalprice), 4) AS spread
+FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1""")
+def q_pipeline_first_last(spark, sf_dir):
+    """The first and last of a group are those of the sort before it."""
+    catalog = catalog_of(spark, sf_dir)
+    group = {"_id": "$o_custkey", "dearest": {"$first": "$o_orderkey"}, "cheapest": {"$last": "$o_orderkey"}, "all": {"$push": "$o_orderkey"}, "kinds": {"$addToSet": "$o_orderstatus"}, "spread": {"$stdDevPop": "$o_totalprice"}}
+    stages = [{"$sort": {"o_totalprice": -1, "o_orderkey": 1}}, {"$match": {"o_orderstatus": {"$ne": "P"}}}, {"$group": group}]
+    df = Pipeline(catalog).run(stages, catalog.open("orders"))
+    return df.select("_id", "dearest", "cheapest", F.size("all").cast("long").alias("n"), F.size("kinds").cast("long").alias("kinds"), F.round("spread", 4).alias("spread"))
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, round(abs(l_tax - l_discount), 6) AS a, round(sin(l_tax) + cos(l_tax) + tan(l_tax) + asin(l_tax) + acos(l_tax) + atan(l_tax), 6) AS b, round(sinh(l_tax) + cosh(l_tax) + tanh(l_tax), 6) AS c,
   l_quantity > 10 AND NOT l_linenumber = 2 AS d, CASE WHEN l_quantity >= 25 THEN 'hi' ELSE 'lo' END AS e, 10 AS f, false AS g, true AS h, round(l_quantity * 2 / 4 - 1 + 3, 6) AS i FROM lineitem""")
@@ -896,3 +1009,84 @@ def q_event_sessions(spark, sf_dir):
     events = catalog_of(spark, sf_dir).open("events")
     df = sessions(events, "ts", ["user_id"], [F.count(F.lit(1)).alias("n")], "30 minutes")
     return df.select("user_id", F.unix_millis("window_start").alias("start"), "n")
+
+
+# -- rows, schemas and requests, as tables of what they give -----------------------------------------------
+
+
+@query("""
+SELECT kind, o_orderkey, o_orderstatus, o_totalprice FROM (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 40), (VALUES ('buffered'), ('streamed')) AS v(kind)""")
+def q_row_streams(spark, sf_dir):
+    """The rows of a limited relation, whole and as a stream."""
+    r = scan("orders", ["o_orderkey", "o_orderstatus", "o_totalprice"]).sort(desc(col(2)), asc(col(0))).paginate(40)
+    df = compile_relation(r, catalog_of(spark, sf_dir))
+    rows = [("buffered", *x) for x in buffered(df)] + [("streamed", *x) for x in streamed(df)]
+    return spark.createDataFrame([(k, int(a), b, float(c)) for k, a, b, c in rows], "kind string, o_orderkey long, o_orderstatus string, o_totalprice double")
+
+
+@query("""
+SELECT s, n, top FROM (SELECT s, CAST(count(c_custkey) AS VARCHAR) AS n, max(c_acctbal) AS top FROM (VALUES (0, 3), (1, 7), (2, 99)) AS v(s, k) LEFT JOIN customer ON c_nationkey = k GROUP BY 1)""")
+def q_request_json(spark, sf_dir):
+    """A request with sets of variables, answered as JSON: 64-bit counts come as text."""
+    q = G.query(aggregates={"n": G.star_count(), "top": G.column_aggregate("max", "c_acctbal")}, predicate=G.binop("_eq", G.target("c_nationkey"), G.variable("k")))
+    out = execute_request(G.request("customer", q, variables=[{"k": 3}, {"k": 7}, {"k": 99}]), catalog_of(spark, sf_dir))
+    return spark.createDataFrame([(i, o["aggregates"]["n"], o["aggregates"]["top"]) for i, o in enumerate(out)], "s int, n string, top double")
+
+
+@query("""
+SELECT * FROM (VALUES ('nation', 'n_name', 'string'), ('nation', 'n_nationkey', 'int'), ('nation', 'n_regionkey', 'int'), ('region', 'r_name', 'string'), ('region', 'r_regionkey', 'int')) AS v(collection, field, type)""")
+def q_schema(spark, sf_dir):
+    """Fields of two collections, as discovery finds them."""
+    catalog = Catalog.parquet(spark, sf_dir, ["nation", "region"])
+    found = schema_response(catalog)["object_types"]
+    rows = [(c, f, next(iter(_plain_type(t["type"]).values()))) for c, o in found.items() for f, t in o["fields"].items()]
+    return spark.createDataFrame(rows, "collection string, field string, type string")
+
+
+def _plain_type(tree):
+    return _plain_type(tree["nullable"]) if "nullable" in tree else tree
+
+
+@query("""
+SELECT * FROM (VALUES ('a', 'double', true), ('b', 'string', true), ('c', 'extendedJSON', false)) AS v(field, type, nullable)""")
+def q_schema_of_documents(spark, sf_dir):
+    """Types of sampled documents: numbers widen, what is missing is nullable, what does not go
+    together becomes any value, null among them."""
+    documents = [json.dumps(d) for d in ({"a": 1, "b": "x", "c": 1}, {"a": 2.5, "c": "y"}, {"a": None, "b": None, "c": True})]
+    found = sample_frame("docs", spark.createDataFrame([(d,) for d in documents], "document string"))
+    rows = [(f, next(iter(_plain_type(t["type"]).values())), "nullable" in t["type"]) for f, t in objects_json(found.objects)["docs"]["fields"].items()]
+    return spark.createDataFrame(rows, "field string, type string, nullable boolean")
+
+
+@query("""
+SELECT * FROM (VALUES ('unknown collection', 'UnknownCollection'), ('unknown field', 'UnknownField'), ('unknown relationship', 'BadQuery'), ('unknown operator', 'BadQuery'), ('missing variable', 'MissingArgument'), ('too deep', 'ExpressionTooDeep')) AS v(request, error)""")
+def q_errors(spark, sf_dir):
+    """Requests that cannot be answered, and the kind of error that says so."""
+    deep = col(0)
+    for _ in range(600):
+        deep = fn("negate", deep)
+    tries = {
+        "unknown collection": lambda: ask(spark, sf_dir, "nothing", G.query(fields={})),
+        "unknown field": lambda: ask(spark, sf_dir, "region", G.query(fields={"x": G.field("x")})),
+        "unknown relationship": lambda: ask(spark, sf_dir, "region", G.query(fields={"x": G.related_field("x", G.query())})),
+        "unknown operator": lambda: ask(spark, sf_dir, "region", G.query(predicate=G.binop("_near", G.target("r_name"), G.value("x")))),
+        "missing variable": lambda: ask(spark, sf_dir, "region", G.query(predicate=G.binop("_eq", G.target("r_name"), G.variable("v"))), [{}]),
+        "too deep": lambda: run(spark, sf_dir, scan("region", ["r_regionkey"]).project(deep), "x"),
+    }
+    rows = []
+    for name, attempt in tries.items():
+        try:
+            attempt()
+        except Exception as error:
+            status, body = error_response(error)
+            rows.append((name, body["type"]))
+    return spark.createDataFrame(rows, "request string, error string")
+
+
+@query("SELECT count(*) FILTER (WHERE o_totalprice > 200000) AS n, true AS filtered, true AS explained FROM orders")
+def q_explain(spark, sf_dir):
+    """The plan of a request names its parts and the condition that reaches the scan."""
+    dear = G.binop("_gt", G.target("o_totalprice"), G.value(200000.0))
+    out = ask(spark, sf_dir, "orders", G.query(aggregates={"n": G.star_count()}, predicate=dear))
+    text = out.explain()
+    return out.aggregates.select("n", F.lit("GreaterThan(o_totalprice,200000.0)" in text).alias("filtered"), F.lit("== aggregates ==" in text).alias("explained"))

@@ -21,12 +21,12 @@ from lattica.types import ListOf, Nullable, Scalar
 @pytest.fixture(scope="module")
 def catalog(spark):
     c = Catalog(spark)
-    staff = "array<struct<name:string>>"
-    c.add("institutions", spark.createDataFrame([(1, "Black Mesa", [("Freeman",), ("Calhoun",)]), (2, "Aperture Science", [("GLaDOS",), ("Chell",)]), (3, "City 17", [("Alyx",), ("Freeman",), ("Breen",)]), (4, "Empty", []), (5, "Gone", None)], f"_id int, institution string, staff {staff}"))
+    crew = "array<struct<name:string>>"
+    c.add("boats", spark.createDataFrame([(1, "Heron", [("Ida",), ("Tom",)]), (2, "Plover", [("Mae",)]), (3, "Curlew", [("Ann",), ("Ida",), ("Uwe",)]), (4, "Idle", []), (5, "Sunk", None)], f"_id int, boat string, crew {crew}"))
     c.add("odd", spark.createDataFrame([(1, ("s1",)), (2, (None,)), (3, None)], "_id int, configuration struct<`$schema`:string>"))
     c.add("authors", spark.createDataFrame([(1, "Ann", ("X", [[("t1", 1)], [("t2", 2), ("t3", 3)]])), (2, "Bob", None)], "_id int, name string, info struct<city:string, articles:array<array<struct<title:string, n:int>>>>"))
-    c.add("schools", spark.createDataFrame([(1, "North", (10, 11)), (2, "South", (11, 99))], "_id int, name string, departments struct<english:int, math:int>"))
-    c.add("departments", spark.createDataFrame([(10, "English"), (11, "Maths")], "_id int, description string"))
+    c.add("routes", spark.createDataFrame([(1, "Coast", (70, 71)), (2, "Hills", (71, 99))], "_id int, name string, ends struct<first:int, last:int>"))
+    c.add("ports", spark.createDataFrame([(70, "Quay"), (71, "Pier")], "_id int, label string"))
     c.add("numbers", spark.createDataFrame([(1, 1.5, None), (2, None, 7), (3, 2.5, 7)], "_id int, x double, y int"))
     c.add("tags", spark.createDataFrame([(1, ["a", "b"]), (2, []), (3, None)], "_id int, tags array<string>"))
     return c
@@ -42,12 +42,12 @@ def ids(catalog, collection, predicate):
 
 
 def test_any_element(catalog):
-    name = G.binop("_eq", G.target("staff", "name"), G.value("Freeman"))
-    assert ids(catalog, "institutions", name) == [1, 3]
-    assert ids(catalog, "institutions", G.not_(name)) == [2, 4, 5]
-    assert ids(catalog, "institutions", G.exists(G.nested("staff"), G.binop("_regex", G.target("name"), G.value("^A")))) == [3]
-    assert ids(catalog, "institutions", G.exists(G.nested("staff"))) == [1, 2, 3]
-    assert ids(catalog, "institutions", G.binop("_in", G.target("staff", "name"), G.value(["Chell", "Breen"]))) == [2, 3]
+    name = G.binop("_eq", G.target("crew", "name"), G.value("Ida"))
+    assert ids(catalog, "boats", name) == [1, 3]
+    assert ids(catalog, "boats", G.not_(name)) == [2, 4, 5]
+    assert ids(catalog, "boats", G.exists(G.nested("crew"), G.binop("_regex", G.target("name"), G.value("^A")))) == [3]
+    assert ids(catalog, "boats", G.exists(G.nested("crew"))) == [1, 2, 3]
+    assert ids(catalog, "boats", G.binop("_in", G.target("crew", "name"), G.value(["Mae", "Uwe"]))) == [2, 3]
     assert ids(catalog, "tags", G.array_contains(G.target("tags"), G.value("b"))) == [1]
     assert ids(catalog, "tags", G.array_is_empty(G.target("tags"))) == [2]
     assert ids(catalog, "tags", G.exists(G.nested_scalars("tags"), G.binop("_eq", G.target("__value"), G.value("a")))) == [1]
@@ -72,10 +72,66 @@ def test_nested_arrays_keep_their_depth(catalog):
 
 
 def test_relationship_on_nested_key(catalog):
-    rel = {"math": G.relationship("departments", {"departments.math": "_id"}, "object")}
-    q = G.query(fields={"name": G.field("name"), "math": G.related_field("math", G.query(fields={"d": G.field("description")}))}, order_by=[G.order("_id")])
-    (out,) = ask(catalog, "schools", q, relationships=rel)
-    assert out["rows"] == [{"name": "North", "math": {"rows": [{"d": "Maths"}]}}, {"name": "South", "math": {"rows": []}}]
+    rel = {"last": G.relationship("ports", {"ends.last": "_id"}, "object")}
+    q = G.query(fields={"name": G.field("name"), "last": G.related_field("last", G.query(fields={"l": G.field("label")}))}, order_by=[G.order("_id")])
+    (out,) = ask(catalog, "routes", q, relationships=rel)
+    assert out["rows"] == [{"name": "Coast", "last": {"rows": [{"l": "Pier"}]}}, {"name": "Hills", "last": {"rows": []}}]
+
+
+def test_exists_sees_the_rows_around_it(spark):
+    c = Catalog(spark)
+    c.add("up", spark.createDataFrame([(1, 10), (2, 20), (3, None), (3, None)], "k int, v int"))
+    c.add("down", spark.createDataFrame([(1, 10, 5), (2, 99, 5), (3, None, 6), (3, 7, 6)], "k int, v int, w int"))
+    rel = {"down": G.relationship("down", {"k": "k"}), "same": G.relationship("down", {"w": "w"})}
+    same = G.binop("_eq", G.target("v"), G.column_value("v", scope=1))
+    found = lambda p: sorted(r["k"] for r in ask(c, "up", G.query(fields={"k": G.field("k")}, predicate=p), relationships=rel)[0]["rows"])
+    assert found(G.exists(G.related("down"), same)) == [1, 3, 3]
+    assert found(G.not_(G.exists(G.related("down"), same))) == [2]
+    assert found(G.exists(G.related("down"), G.not_(same))) == [2, 3, 3]
+    # two steps out: some row with the same w has the first row's v
+    twice = G.exists(G.related("same"), G.binop("_eq", G.target("v"), G.column_value("v", scope=2)))
+    assert found(G.exists(G.related("down"), twice)) == [1, 3, 3]
+    with pytest.raises(E.NotSupported):
+        found(G.exists(G.unrelated("down"), same))
+    with pytest.raises(E.BadQuery):
+        found(G.binop("_eq", G.target("v"), G.column_value("v", scope=1)))
+
+
+def test_shared_rows_are_released(catalog):
+    q = G.query(fields={"i": G.field("_id")}, aggregates={"n": G.star_count()}, order_by=[G.order("_id")], limit=2)
+    out = compile_request(G.request("numbers", q), catalog)
+    assert out.shared.is_cached and out.rows.count() == 2
+    shared = out.shared
+    out.release()
+    assert not shared.is_cached and out.shared is None and out.rows.count() == 2
+
+
+def test_arrays_of_all_rows_are_checked(catalog, monkeypatch):
+    from lattica.operators import pipeline
+
+    stages = [{"$lookup": {"from": "tags", "pipeline": [{"$project": {"tags": 1}}], "as": "all"}}]
+    assert all(len(r["all"]) == 3 for r in run(catalog, "numbers", *stages))
+    monkeypatch.setattr(pipeline, "ARRAY_BYTES", 10)
+    for s in (stages, [{"$facet": {"a": []}}]):
+        with pytest.raises(E.NotSupported):
+            run(catalog, "numbers", *s)
+
+
+def test_first_and_last_follow_the_sort(spark):
+    df = spark.createDataFrame([(i % 7, (i * 37) % 500, None if i % 90 == 0 else f"v{i}") for i in range(500)], "g int, o int, v string").repartition(9)
+    for way in (1, -1):
+        out = Pipeline(Catalog(spark)).run([{"$sort": {"o": way}}, {"$group": {"_id": "$g", "a": {"$first": "$v"}, "z": {"$last": "$v"}, "s": {"$addToSet": "$v"}}}], df.repartition(5, "v")).collect()
+        rows = sorted(((i * 37) % 500 * way, i) for i in range(500))
+        for r in out:
+            own = [None if i % 90 == 0 else f"v{i}" for _, i in rows if i % 7 == r["_id"]]
+            assert (r["a"], r["z"]) == (own[0], own[-1]) and len(r["s"]) == len(set(own))
+
+
+def test_documents_are_sampled_from_the_whole_table(spark):
+    from lattica.sources.introspect import sample_frame
+
+    rows = spark.range(2000).selectExpr("concat('{\"a\": ', id, if(id >= 1000, ', \"late\": true}', '}')) AS document")
+    assert "late" in sample_frame("docs", rows, 50).objects["docs"].fields
 
 
 def test_facets_share_the_limited_rows(catalog):
@@ -140,25 +196,25 @@ def test_match_arrays(catalog, match, expected):
 
 
 def test_element_match_on_objects(catalog):
-    assert [r["_id"] for r in run(catalog, "institutions", {"$match": {"staff": {"$elemMatch": {"name": {"$regex": "^Cal"}}}}})] == [1]
+    assert [r["_id"] for r in run(catalog, "boats", {"$match": {"crew": {"$elemMatch": {"name": {"$regex": "^T"}}}}})] == [1]
 
 
 def test_stages(catalog):
     assert run(catalog, "numbers", {"$sort": {"_id": -1}}, {"$skip": 1}, {"$limit": 1}, {"$project": {"x": 1}}) == [{"_id": 2, "x": None}]
-    assert run(catalog, "schools", {"$project": {"_id": 0, "a.b": "$departments.math"}}, {"$sort": {"a.b": 1}}) == [{"a": {"b": 11}}, {"a": {"b": 99}}]
-    assert run(catalog, "schools", {"$project": {"departments.math": False, "_id": 0}}, {"$limit": 1})[0] == {"name": "North", "departments": {"english": 10}}
-    assert run(catalog, "schools", {"$addFields": {"departments.art": 5, "n": "$name"}}, {"$match": {"_id": 1}}) == [{"_id": 1, "name": "North", "departments": {"english": 10, "math": 11, "art": 5}, "n": "North"}]
+    assert run(catalog, "routes", {"$project": {"_id": 0, "a.b": "$ends.last"}}, {"$sort": {"a.b": 1}}) == [{"a": {"b": 71}}, {"a": {"b": 99}}]
+    assert run(catalog, "routes", {"$project": {"ends.last": False, "_id": 0}}, {"$limit": 1})[0] == {"name": "Coast", "ends": {"first": 70}}
+    assert run(catalog, "routes", {"$addFields": {"ends.via": 5, "n": "$name"}}, {"$match": {"_id": 1}}) == [{"_id": 1, "name": "Coast", "ends": {"first": 70, "last": 71, "via": 5}, "n": "Coast"}]
     assert run(catalog, "tags", {"$unwind": "$tags"}, {"$count": "n"}) == [{"n": 2}]
     kept = run(catalog, "tags", {"$unwind": {"path": "$tags", "preserveNullAndEmptyArrays": True, "includeArrayIndex": "at"}}, {"$sort": {"_id": 1, "at": 1}})
     assert kept == [{"_id": 1, "tags": "a", "at": 0}, {"_id": 1, "tags": "b", "at": 1}, {"_id": 2, "tags": None, "at": None}, {"_id": 3, "tags": None, "at": None}]
     assert run(catalog, "numbers", {"$unwind": "$y"}, {"$count": "n"}) == [{"n": 2}]
-    assert run(catalog, "schools", {"$replaceRoot": {"newRoot": "$departments"}}, {"$sort": {"math": 1}}) == [{"english": 10, "math": 11}, {"english": 11, "math": 99}]
+    assert run(catalog, "routes", {"$replaceRoot": {"newRoot": "$ends"}}, {"$sort": {"last": 1}}) == [{"first": 70, "last": 71}, {"first": 71, "last": 99}]
     assert run(catalog, "numbers", {"$match": {"_id": 0}}, {"$count": "n"}) == []
     assert run(catalog, "numbers", {"$match": {"_id": 0}}, {"$group": {"_id": None, "n": {"$sum": 1}}}) == []
     grouped = run(catalog, "numbers", {"$sort": {"_id": 1}}, {"$group": {"_id": "$y", "all": {"$push": "$x"}, "set": {"$addToSet": "$y"}, "n": {"$count": {}}}}, {"$sort": {"_id": 1}})
     assert grouped == [{"_id": None, "all": [1.5], "set": [None], "n": 1}, {"_id": 7, "all": [None, 2.5], "set": [7], "n": 2}]
-    looked = run(catalog, "schools", {"$lookup": {"from": "departments", "localField": "departments.math", "foreignField": "_id", "as": "m"}}, {"$sort": {"_id": 1}}, {"$project": {"m": 1}})
-    assert looked == [{"_id": 1, "m": [{"_id": 11, "description": "Maths"}]}, {"_id": 2, "m": []}]
+    looked = run(catalog, "routes", {"$lookup": {"from": "ports", "localField": "ends.last", "foreignField": "_id", "as": "m"}}, {"$sort": {"_id": 1}}, {"$project": {"m": 1}})
+    assert looked == [{"_id": 1, "m": [{"_id": 71, "label": "Pier"}]}, {"_id": 2, "m": []}]
     both = run(catalog, "numbers", {"$facet": {"a": [{"$match": {"y": 7}}, {"$count": "n"}], "b": [{"$match": {"_id": 9}}, {"$project": {"x": 1}}]}})
     assert both == [{"a": [{"n": 2}], "b": []}]
 
@@ -190,15 +246,15 @@ def test_view_with_a_condition(catalog):
 
 def test_mutations(spark, tmp_path):
     c = Catalog(spark)
-    table = VersionedTable(c, "Artist", f"{tmp_path}/artist", spark.createDataFrame([(1, "A", 1.0), (2, "B", 2.0)], "id int, name string, price double"))
-    known = {m.name: m for m in (config.mutation_from({"command": {"insert": "Artist", "documents": [{"id": "{{ id }}", "name": "{{ name }}"}]}, "arguments": {"id": {"type": {"scalar": "int"}}, "name": {"type": {"scalar": "string"}}}}, "add"), config.mutation_from({"command": {"update": "Artist", "updates": [{"q": {"id": {"$lte": 2}}, "u": {"$set": {"price": "{{ p }}"}, "$inc": {"id": 10}}, "multi": True}]}, "arguments": {"p": {"type": {"scalar": "double"}}}}, "raise"), config.mutation_from({"command": {"delete": "Artist", "deletes": [{"q": {"name": "A"}, "limit": 0}]}}, "drop"))}
-    assert run_mutations({"Artist": table}, c, known, [("add", {"id": 3, "name": "C"})], {"count": "n"}) == [{"count": 1}]
-    assert run_mutations({"Artist": table}, c, known, [("raise", {"p": 9.5})]) == [{"ok": 1.0, "n": 2}]
-    assert run_mutations({"Artist": table}, c, known, [("drop", {})])[0]["n"] == 1
-    assert sorted(map(tuple, c.open("Artist").collect())) == [(3, "C", None), (12, "B", 9.5)]
+    table = VersionedTable(c, "Stock", f"{tmp_path}/stock", spark.createDataFrame([(1, "A", 1.0), (2, "B", 2.0)], "id int, name string, price double"))
+    known = {m.name: m for m in (config.mutation_from({"command": {"insert": "Stock", "documents": [{"id": "{{ id }}", "name": "{{ name }}"}]}, "arguments": {"id": {"type": {"scalar": "int"}}, "name": {"type": {"scalar": "string"}}}}, "add"), config.mutation_from({"command": {"update": "Stock", "updates": [{"q": {"id": {"$lte": 2}}, "u": {"$set": {"price": "{{ p }}"}, "$inc": {"id": 10}}, "multi": True}]}, "arguments": {"p": {"type": {"scalar": "double"}}}}, "raise"), config.mutation_from({"command": {"delete": "Stock", "deletes": [{"q": {"name": "A"}, "limit": 0}]}}, "drop"))}
+    assert run_mutations({"Stock": table}, c, known, [("add", {"id": 3, "name": "C"})], {"count": "n"}) == [{"count": 1}]
+    assert run_mutations({"Stock": table}, c, known, [("raise", {"p": 9.5})]) == [{"ok": 1.0, "n": 2}]
+    assert run_mutations({"Stock": table}, c, known, [("drop", {})])[0]["n"] == 1
+    assert sorted(map(tuple, c.open("Stock").collect())) == [(3, "C", None), (12, "B", 9.5)]
     for name, arguments, error in (("nope", {}, E.BadQuery), ("add", {"id": 1}, E.MissingArgument), ("drop", {"x": 1}, E.UnknownArgument)):
         with pytest.raises(error):
-            run_mutations({"Artist": table}, c, known, [(name, arguments)])
+            run_mutations({"Stock": table}, c, known, [(name, arguments)])
 
 
 def test_configuration_directory(spark, catalog, tmp_path):
@@ -226,9 +282,9 @@ def test_configuration_directory(spark, catalog, tmp_path):
 def test_schema_and_capabilities(catalog):
     found = schema_response(catalog)
     assert "_regex" in found["scalar_types"]["string"]["comparison_operators"]
-    assert found["object_types"]["schools"]["fields"]["departments"] == {"type": {"nullable": {"object": "schools_departments"}}}
+    assert found["object_types"]["routes"]["fields"]["ends"] == {"type": {"nullable": {"object": "routes_ends"}}}
     flat = schema_response(catalog, relational=True)
-    assert flat["object_types"]["schools"]["fields"]["departments"]["type"] == {"scalar": "extendedJSON"}
+    assert flat["object_types"]["routes"]["fields"]["ends"]["type"] == {"scalar": "extendedJSON"}
     assert capabilities()["relational_query"]["join"]["right_semi"] == {}
 
 

@@ -48,12 +48,12 @@ def test_registry_covers_itself():
 
 
 def test_two_key_relationship_covers_every_line(spark, sf_dir, duck):
-    found = suite.QUERIES["q_rel_two_keys_all"](spark, sf_dir)
+    found = suite.QUERIES["q_rel_two_keys"](spark, sf_dir)
     assert {(r["l_orderkey"], r["l_linenumber"]) for r in found.collect()} == set(duck.execute("SELECT l_orderkey, l_linenumber FROM lineitem").fetchall())
 
 
 def test_null_join_keys_pair_every_order(spark, sf_dir, duck):
-    rows = {r["k"]: r["n"] for r in suite.QUERIES["q_null_join_keys_all"](spark, sf_dir).collect()}
+    rows = {r["k"]: r["n"] for r in suite.QUERIES["q_null_join_keys"](spark, sf_dir).collect()}
     counts = dict(duck.execute("SELECT CASE WHEN o_totalprice > 150000 THEN o_orderpriority ELSE '-' END, count(*) FROM orders GROUP BY 1").fetchall())
     assert rows == {k: n * n for k, n in counts.items()}
 
@@ -72,5 +72,5 @@ def test_blocks_of_queries_give_the_same(spark, sf_dir):
 
 
 def test_lower_case_of_whole_texts(spark, sf_dir, duck):
-    found = {r["doc_id"]: r["b"] for r in suite.QUERIES["q_strings_3_all"](spark, sf_dir).collect()}
+    found = {r["doc_id"]: r["c"] for r in suite.QUERIES["q_strings_3"](spark, sf_dir).collect()}
     assert found == {i: hashlib.md5(t.lower().encode()).hexdigest() for i, t in duck.execute("SELECT doc_id, text FROM documents").fetchall()}
