@@ -171,12 +171,12 @@ def fences(found: DataFrame, spread: float = SPREAD, prior: float = PRIOR) -> Da
         return found.groupBy(*keys).agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(m.name).alias(m.name) for m in MEASURES])
 
     rows = quartiles(found, "s").join(quartiles(merged("lang"), "l"), F.col("s_lang").eqNullSafe(F.col("l_lang")))
-    rows = rows.crossJoin(F.broadcast(quartiles(merged(), "a")))  # one row, whatever the input
+    whole = quartiles(merged(), "a").first()  # one row of numbers, whatever the input
     out = []
     for m in MEASURES:
         points = []
         for i in range(len(_RANKS)):
-            value = F.col(f"a_{m.name}_{i}")
+            value = F.lit(whole[f"a_{m.name}_{i}"]).cast("double")
             for mark in ("l", "s"):
                 weight = F.col(f"{mark}_n") / (F.col(f"{mark}_n") + F.lit(float(prior)))
                 value = weight * F.col(f"{mark}_{m.name}_{i}") + (1 - weight) * value
