@@ -346,7 +346,8 @@ def _sample(p: Pipeline, df: DataFrame, body: Any) -> DataFrame:
 def _lookup(p: Pipeline, df: DataFrame, body: Any) -> DataFrame:
     """Rows of another collection whose field equals a field of this one, as an array; with
     ``pipeline`` after its stages.  Stages with ``let`` variables are joined on the equalities
-    of their first $match that name them.
+    of their first $match that name them; where stages name a variable otherwise, the rows
+    meet each distinct combination of such values that their key goes with.
 
     The other side is grouped by its key first, so each document meets one row.
     """
@@ -355,29 +356,85 @@ def _lookup(p: Pipeline, df: DataFrame, body: Any) -> DataFrame:
     pairs = []
     if "localField" in body:
         pairs.append((resolve(df.schema, body["localField"].split("."), strict=False)[0], body["foreignField"].split(".")))
-    if let := body.get("let"):
-        mine = {k: compile_expression(v, p.scope(df)) for k, v in let.items()}
+    mine = {k: compile_expression(v, p.scope(df)) for k, v in (body.get("let") or {}).items()}
+    if mine:
         found, stages = _take_equalities(stages, mine)
         pairs += [(x, path) for x, path in found]
+    named = [k for k in mine if _names(stages, k)]
     if not pairs:
-        rows = p.run(stages, other)
-        if let is not None:
-            _no_keys()
-        whole = _one_row(rows, as_name)
+        if named:
+            raise NotSupported("a lookup with variables needs an equality with one of them")
+        whole = _one_row(p.run(stages, other), as_name)
         return df.crossJoin(F.broadcast(whole))  # one row, of a checked size
     keyed = other.select("*", *[resolve(other.schema, path, strict=False)[0].alias(f"__key{i}") for i, (_, path) in enumerate(pairs)])
     names = [f"__key{i}" for i in range(len(pairs))]
-    if any(next(iter(s)) in ("$limit", "$skip", "$group", "$count", "$facet") for s in stages):
-        raise NotSupported("stages of a lookup that count rows need one key at a time")
-    rows = Pipeline(p.catalog, p.variables).run(_carrying(stages, names), keyed)
-    content = [c for c in rows.columns if c not in names]
-    grouped = rows.groupBy(*names).agg(F.collect_list(F.struct(*map(quoted, content))).alias("__rows"))
-    condition = reduce(lambda a, b: a & b, [x.eqNullSafe(F.col(n)) for (x, _), n in zip(pairs, names, strict=True)])
+    if named:
+        asked = df.select(*[x.alias(f"__ask{i}") for i, (x, _) in enumerate(pairs)], *[mine[k].alias(f"__let_{k}") for k in named]).distinct()
+        meets = reduce(lambda a, b: a & b, [F.col(f"__ask{i}").eqNullSafe(F.col(n)) for i, n in enumerate(names)])
+        keyed = keyed.join(asked, meets).drop(*[f"__ask{i}" for i in range(len(pairs))])
+        names += [f"__let_{k}" for k in named]
+    inner = Pipeline(p.catalog, p.variables | {k: F.col(f"__let_{k}") for k in named})
+    grouped = _run_by_key(inner, stages, keyed, names).withColumnRenamed("__all", "__rows")
+    near = [*[x for x, _ in pairs], *[mine[k] for k in named]]
+    condition = reduce(lambda a, b: a & b, [x.eqNullSafe(F.col(n)) for x, n in zip(near, names, strict=True)])
     joined = df.join(grouped, condition, "left")
     kind = grouped.schema["__rows"].dataType
     return joined.select(*[quoted(c) for c in df.columns if c != as_name], F.coalesce("__rows", F.array().cast(kind)).alias(as_name))
 
 
+#: Stages that take documents one by one, so that those of all keys go through together.
+_ONE_BY_ONE = ("$match", "$addFields", "$set", "$project", "$unset", "$replaceRoot", "$replaceWith", "$unwind", "$lookup")
+#: Where a row stands after a $sort.
+_BY = "__by"
+
+
+def _run_by_key(p: Pipeline, stages: Sequence[Mapping[str, Any]], df: DataFrame, keys: list[str]) -> DataFrame:
+    """What the stages give for the rows of each key, as an array ``__all``, in the order of
+    the last $sort.  Sorts, limits and groups are per key: no stage needs a job of its own."""
+    ordered = False
+    for s in stages:
+        ((name, body),) = s.items()
+        hidden = [*keys, _BY] if ordered else keys
+        own = T.StructType([f for f in df.schema.fields if f.name not in hidden])
+        if name in _ONE_BY_ONE:
+            df = p.run(_carrying([s], hidden), df)
+        elif name == "$sort":
+            noted = _sorted_by(df, body)
+            df, ordered = df.withColumn(_BY, _place(noted)), True
+        elif name in ("$limit", "$skip"):
+            over = Window.partitionBy(*keys).orderBy(F.col(_BY) if ordered else F.lit(1))
+            place = F.col("__n") <= int(body) if name == "$limit" else F.col("__n") > int(body)
+            df = df.withColumn("__n", F.row_number().over(over)).filter(place).drop("__n")
+        elif name == "$count":
+            df, ordered = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(body)), False
+        elif name in ("$group", "$sortByCount"):
+            spec = {"_id": body, "count": {"$count": {}}} if name == "$sortByCount" else body
+            scope = Scope(own, p.variables, F.col(_BY) if ordered else None)
+            id_column = (F.lit(None) if spec.get("_id") is None else compile_expression(spec["_id"], scope)).alias("_id")
+            values = [compile_accumulator(v, scope).alias(k) for k, v in spec.items() if k != "_id"]
+            by = [*map(F.col, keys), id_column]
+            df = df.groupBy(*by).agg(*values) if values else df.select(*by).distinct()
+            ordered = name == "$sortByCount"
+            if ordered:
+                df = df.withColumn(_BY, -F.col("count"))
+        else:
+            raise NotSupported(f"{name} in the stages of a lookup with keys")
+    content = F.struct(*[quoted(c) for c in df.columns if c not in (*keys, _BY)])
+    if not ordered:
+        return df.groupBy(*keys).agg(F.collect_list(content).alias("__all"))
+    listed = F.array_sort(F.collect_list(F.struct(F.col(_BY), content.alias("v"))))
+    return df.groupBy(*keys).agg(F.transform(listed, lambda r: r["v"]).alias("__all"))
+
+
+def _names(tree: Any, variable: str) -> bool:
+    """Whether a variable is named somewhere in stages."""
+    if isinstance(tree, Mapping):
+        return any(_names(v, variable) for v in tree.values())
+    if isinstance(tree, (list, tuple)):
+        return any(_names(v, variable) for v in tree)
+    return isinstance(tree, str) and tree.startswith("$$") and tree[2:].partition(".")[0] == variable
+
+
 #: Bytes (as JSON) that one array of whole rows may hold.
 ARRAY_BYTES = 64 << 20
 
@@ -391,10 +448,6 @@ def _one_row(rows: DataFrame, name: str) -> DataFrame:
     return rows.agg(F.collect_list(F.struct("*")).alias(name))
 
 
-def _no_keys() -> DataFrame:
-    raise NotSupported("a lookup with variables needs an equality with one of them")
-
-
 def _carrying(stages: list, names: list[str]) -> list:
     """The stages, with the keys kept where fields are chosen."""
     out = []

@@ -904,6 +904,40 @@ def q_pipeline_lookup(spark, sf_dir):
     return df.select("n_name", F.col("n").cast("long").alias("n"), F.coalesce(F.array_max(F.col("suppliers.s_acctbal")), F.lit(-1.0)).alias("top"))
 
 
+@query("SELECT n_name, c_custkey, place FROM (SELECT n_name, c_custkey, row_number() OVER (PARTITION BY n_nationkey ORDER BY c_acctbal DESC, c_custkey) - 2 AS place FROM nation JOIN customer ON c_nationkey = n_nationkey) WHERE place BETWEEN 0 AND 3")
+def q_pipeline_lookup_top(spark, sf_dir):
+    catalog = catalog_of(spark, sf_dir)
+    top = [{"$match": {"$expr": {"$eq": ["$c_nationkey", "$$k"]}}}, {"$sort": {"c_acctbal": -1, "c_custkey": 1}}, {"$skip": 1}, {"$limit": 4}, {"$project": {"c_custkey": 1}}]
+    stages = [
+        {"$lookup": {"from": "customer", "let": {"k": "$n_nationkey"}, "pipeline": top, "as": "top"}},
+        {"$unwind": {"path": "$top", "includeArrayIndex": "place"}},
+    ]
+    return Pipeline(catalog).run(stages, catalog.open("nation")).select("n_name", F.col("top.c_custkey").alias("c_custkey"), "place")
+
+
+@query("""
+    SELECT n_name, c_mktsegment AS segment, count(*) AS n, total FROM nation JOIN customer ON c_nationkey = n_nationkey
+    JOIN (SELECT c_nationkey AS k, count(*) AS total FROM customer GROUP BY 1) ON k = n_nationkey GROUP BY 1, 2, 4""")
+def q_pipeline_lookup_group(spark, sf_dir):
+    catalog = catalog_of(spark, sf_dir)
+    stages = [
+        {"$lookup": {"from": "customer", "localField": "n_nationkey", "foreignField": "c_nationkey", "pipeline": [{"$group": {"_id": "$c_mktsegment", "n": {"$count": {}}}}], "as": "segments"}},
+        {"$lookup": {"from": "customer", "localField": "n_nationkey", "foreignField": "c_nationkey", "pipeline": [{"$count": "n"}], "as": "all"}},
+        {"$unwind": "$segments"},
+    ]
+    df = Pipeline(catalog).run(stages, catalog.open("nation"))
+    return df.select("n_name", F.col("segments._id").alias("segment"), F.col("segments.n").cast("long").alias("n"), F.col("all")[0]["n"].cast("long").alias("total"))
+
+
+@query("SELECT n_name, count(s_suppkey) AS n FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey AND s_acctbal > 300 * n_nationkey GROUP BY 1")
+def q_pipeline_lookup_above(spark, sf_dir):
+    catalog = catalog_of(spark, sf_dir)
+    above = [{"$match": {"$expr": {"$and": [{"$eq": ["$s_nationkey", "$$k"]}, {"$gt": ["$s_acctbal", "$$least"]}]}}}]
+    stages = [{"$lookup": {"from": "supplier", "let": {"k": "$n_nationkey", "least": {"$multiply": ["$n_nationkey", 300]}}, "pipeline": above, "as": "found"}}]
+    df = Pipeline(catalog).run(stages, catalog.open("nation"))
+    return df.select("n_name", F.size("found").cast("long").alias("n"))
+
+
 @query("SELECT conv_id, pos - 1 AS at, turn.role AS role FROM (SELECT conv_id, unnest(t) AS turn, generate_subscripts(t, 1) AS pos FROM (SELECT conv_id, list({'role': role} ORDER BY turn) AS t FROM conversations GROUP BY 1)) WHERE turn.role <> 'user'")
 def q_pipeline_unwind(spark, sf_dir):
     catalog = catalog_of(spark, sf_dir)

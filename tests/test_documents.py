@@ -117,6 +117,38 @@ def test_arrays_of_all_rows_are_checked(catalog, monkeypatch):
             run(catalog, "numbers", *s)
 
 
+def test_stages_of_a_lookup_run_per_key(spark):
+    catalog = Catalog(spark)
+    parents = [(1, "a", 3), (2, "b", 0), (3, None, 1), (4, "a", 4), (5, "c", 0)]
+    children = [(i, "ab"[i % 2] if i % 5 else None, (i * 7) % 6) for i in range(40)]
+    catalog.add("parents", spark.createDataFrame(parents, "_id int, k string, least int"))
+    catalog.add("children", spark.createDataFrame(children, "_id int, k string, v int").repartition(5))
+
+    def looked(*stages, **more):
+        body = {"from": "children", "as": "found", "pipeline": list(stages)} | (more or {"localField": "k", "foreignField": "k"})
+        return {r["_id"]: r["found"] for r in run(catalog, "parents", {"$lookup": body})}
+
+    own = lambda k: [c for c in children if c[1] == k]
+    order = lambda c: (-c[2], c[0])
+    top = looked({"$sort": {"v": -1, "_id": 1}}, {"$skip": 1}, {"$limit": 3}, {"$project": {"_id": 1}})
+    assert top == {i: [{"_id": c[0]} for c in sorted(own(k), key=order)[1:4]] for i, k, _ in parents}
+    assert looked({"$match": {"v": {"$gt": 2}}}, {"$count": "n"}) == {i: [{"n": n}] if (n := sum(c[2] > 2 for c in own(k))) else [] for i, k, _ in parents}
+    first = looked({"$sort": {"v": 1, "_id": 1}}, {"$group": {"_id": None, "first": {"$first": "$_id"}, "sum": {"$sum": "$v"}}})
+    assert first == {i: [{"_id": None, "first": min(own(k), key=lambda c: (c[2], c[0]))[0], "sum": sum(c[2] for c in own(k))}] if own(k) else [] for i, k, _ in parents}
+    counted = looked({"$sortByCount": "$v"}, {"$limit": 1}, {"$project": {"count": 1, "_id": 0}})
+    assert counted[2] == [{"count": max(sum(c[2] == v for c in own("b")) for v in range(6))}]
+    above = looked(
+        {"$match": {"$expr": {"$and": [{"$eq": ["$k", "$$k"]}, {"$gt": ["$v", "$$least"]}]}}},
+        {"$sort": {"_id": 1}},
+        {"$project": {"_id": 1, "over": {"$subtract": ["$v", "$$least"]}}},
+        let={"k": "$k", "least": "$least"},
+    )
+    assert above == {i: [{"_id": c[0], "over": c[2] - least} for c in own(k) if c[2] > least] for i, k, least in parents}
+    for stage in ({"$sample": {"size": 1}}, {"$unionWith": "parents"}):
+        with pytest.raises(E.NotSupported):
+            looked(stage)
+
+
 def test_first_and_last_follow_the_sort(spark):
     df = spark.createDataFrame([(i % 7, (i * 37) % 500, None if i % 90 == 0 else f"v{i}") for i in range(500)], "g int, o int, v string").repartition(9)
     for way in (1, -1):
