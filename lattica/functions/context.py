@@ -22,11 +22,14 @@ class Options:
     """``ansi_nulls``: comparisons with null give null, as in SQL; otherwise every comparison
     is true or false, null equals null and orders nowhere.  ``strict``: a global aggregate of
     no rows gives no row, and a distinct count counts null as a value.  ``approximate``: a
-    median comes from a sketch."""
+    median comes from a sketch.  ``spread_windows``: ranks of all rows, by a number or a time
+    first, are made by ranges in many tasks; compiling them runs a job for the cuts, and they
+    are longs."""
 
     ansi_nulls: bool = False
     strict: bool = False
     approximate: bool = False
+    spread_windows: bool = False
 
 
 @dataclass(frozen=True)

@@ -25,7 +25,8 @@ def order_column(ctx: Context, key: SortKey) -> Column:
 
 
 def compile_window(ctx: Context, e: Expr) -> Column:
-    """Without ``partition_by`` all rows are one partition, in one task, as the query says."""
+    """Without ``partition_by`` all rows are one partition, in one task, as the query says;
+    for ranks see also ``Options.spread_windows``."""
     keys = [ctx.compile(p) for p in e.get("partition_by", [])]
     order = [order_column(ctx, k) for k in e.get("order_by", [])]
     over = W.partitionBy(*keys)

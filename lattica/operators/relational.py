@@ -20,6 +20,7 @@ from ..functions.context import Context, Options
 from ..functions.windows import compile_window, order_column
 from ..plans import relational as R
 from ..sources.catalog import Catalog
+from .ranges import add_ranks, can_spread
 
 INT_MAX = 2**31 - 1
 
@@ -67,9 +68,7 @@ class RelationCompiler:
             case R.Aggregate():
                 return self._aggregate(r)
             case R.Window():
-                inner = self.rows(r.input)
-                ctx, n = self.context(inner.df), len(inner.df.columns)
-                return Rows(inner.df.select("*", *[compile_window(ctx, e).alias(f"col_{n + i}") for i, e in enumerate(r.exprs)]))
+                return self._window(r)
             case R.Union():
                 return self._union(r)
             case R.SetOperation():
@@ -78,6 +77,22 @@ class RelationCompiler:
                 return Rows(left.intersectAll(right) if r.kind == "intersect" else left.exceptAll(right))
         raise UnsupportedRelation(f"{type(r).__name__} is not a relation")
 
+    def _window(self, r: R.Window) -> Rows:
+        df = self.rows(r.input).df
+        first = len(df.columns)
+        left = {f"col_{first + i}": e for i, e in enumerate(r.exprs)}
+        names = [*df.columns, *left]
+        ctx = self.context(df)
+        spread = {c: e for c, e in left.items() if self.options.spread_windows and can_spread(ctx, e)}
+        while spread:  # those with the same order go together
+            order = next(iter(spread.values())).fields["order_by"]
+            own = {c: e for c, e in spread.items() if e.fields["order_by"] == order}
+            df = add_ranks(self.context(df), order, own)
+            spread = {c: e for c, e in spread.items() if c not in own}
+            left = {c: e for c, e in left.items() if c not in own}
+        ctx = self.context(df)
+        return Rows(df.select("*", *[compile_window(ctx, e).alias(c) for c, e in left.items()]).select(*names))
+
     def _paginate(self, r: R.Paginate) -> Rows:
         inner = self.rows(r.input)
         df = inner.df

@@ -536,6 +536,16 @@ def q_dense_rank(spark, sf_dir):
     return run(spark, sf_dir, _ranked("dense_rank").project(col(0), col(4)), "o_orderkey n")
 
 
+@query("""
+SELECT l_orderkey, l_linenumber, row_number() OVER w AS a, rank() OVER v AS b, dense_rank() OVER v AS c, round(percent_rank() OVER v, 6) AS d, round(cume_dist() OVER v, 6) AS e, ntile(7) OVER w AS f
+FROM lineitem WINDOW w AS (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber), v AS (ORDER BY l_extendedprice DESC)""")
+def q_ranks_of_all_rows(spark, sf_dir):
+    w, v = (desc(col(2)), asc(col(0)), asc(col(1))), (desc(col(2)),)
+    ranks = [fn("row_number", order_by=w), fn("rank", order_by=v), fn("dense_rank", order_by=v), fn("percent_rank", order_by=v), fn("cume_dist", order_by=v), fn("n_tile", lit(7), order_by=w)]
+    r = scan("lineitem", ["l_orderkey", "l_linenumber", "l_extendedprice"]).window(*ranks).project(col(0), col(1), col(3), col(4), col(5), fn("round", col(6), lit(6)), fn("round", col(7), lit(6)), col(8))
+    return run(spark, sf_dir, r, "l_orderkey l_linenumber a b c d e f", Options(spread_windows=True))
+
+
 @query("""
 SELECT o_orderkey, ntile(3) OVER w AS a, round(cume_dist() OVER v, 6) AS b, round(percent_rank() OVER v, 6) AS c, lag(o_orderkey, 2) OVER w AS d, lead(o_orderkey) OVER w AS e,
   round(sum(o_totalprice) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS f, count(*) OVER (PARTITION BY o_custkey) AS g

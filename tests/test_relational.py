@@ -9,7 +9,7 @@ from lattica import errors as E
 from lattica.functions.context import Options
 from lattica.operators.relational import compile_relation
 from lattica.plans import relational as R
-from lattica.plans.relational import asc, call, col, desc, eq, gt, lit, lt, not_eq, scan
+from lattica.plans.relational import SortKey, asc, call, col, desc, eq, gt, lit, lt, not_eq, scan
 from lattica.sources.catalog import Catalog, View
 from lattica.streaming.rows import buffered, streamed
 
@@ -253,3 +253,21 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     assert "TakeOrderedAndProject" in plan(compile_relation(top, c))
     join = scan("lineitem", ["l_orderkey"]).join(scan("orders", ["o_orderkey"]), [(col(0), col(0))])
     assert "NestedLoop" not in plan(compile_relation(join, c)) and "Cartesian" not in plan(compile_relation(join, c))
+
+
+@pytest.mark.parametrize(("rows", "kind"), [(0, "int"), (1, "date"), (3, "double"), (400, "int"), (400, "double"), (400, "date"), (400, "decimal(12,2)")])
+def test_ranks_by_ranges(spark, rows, kind):
+    """Ties, nulls on either side, a value that half of the rows have, more tiles than rows."""
+    value = "date_add(date'2020-01-01', cast({} AS int))" if kind == "date" else f"cast({{}} AS {kind})"
+    x = f"CASE WHEN id % 9 = 0 THEN NULL WHEN id % 2 = 0 THEN {value.format(5)} ELSE {value.format('id * 37 % 101 - 50')} END AS x"
+    df = spark.range(rows).selectExpr("id", x).repartition(3)
+    catalog = Catalog(spark, {"t": df})
+    for order in ((asc(col(1)), asc(col(0))), (desc(col(1)),), (SortKey(col(1), True, False),), (SortKey(col(1), False, True), desc(col(0)))):
+        stable = len(order) > 1
+        kinds = ["rank", "dense_rank", "percent_rank", "cume_dist", *(["row_number"] if stable else [])]
+        ranks = [call(k, order_by=order) for k in kinds] + ([call("n_tile", lit(n), order_by=order) for n in (1, 7, 1000)] if stable else [])
+        ranks.append(call("lag", col(0), order_by=(asc(col(0)),)))
+        r = scan("t", ["id", "x"]).window(*ranks)
+        plain, spread = (sorted(map(tuple, compile_relation(r, catalog, Options(spread_windows=s)).collect()), key=lambda c: c[0]) for s in (False, True))
+        rounded = lambda found: [[round(v, 9) if isinstance(v, float) else v for v in c] for c in found]
+        assert rounded(plain) == rounded(spread)
