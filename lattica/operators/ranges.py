@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,28 +46,28 @@ def range_number(x: Column, cuts: Sequence, key: SortKey) -> Column:
     return F.when(x.isNull(), F.lit(-1 if key.nulls else len(cuts) + 1)).otherwise(number)
 
 
-def add_ranks(ctx: Context, keys: Sequence[SortKey], wanted: dict[str, Expr]) -> DataFrame:
-    """The rows of ``ctx`` with a column for each of ``wanted``, ranks by ``keys``.  The cuts
-    are looked up at once, a job over the first key alone; no rows give no cuts and no rows."""
+def add_ranks(ctx: Context, first: SortKey, wanted: dict[str, Expr]) -> DataFrame:
+    """The rows of ``ctx`` with a column for each of ``wanted``, ranks whose orders all begin
+    with ``first``: one shuffle by range serves all of them.  The cuts are looked up at once, a
+    job over that key alone; no rows give no cuts and no rows."""
     df = ctx.df
-    x = ctx.compile(keys[0].expr)
+    x = ctx.compile(first.expr)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shares = [i / n for i in range(1, n)]
     cuts = (df.agg(F.percentile_approx(x, shares)).first()[0] or []) if shares else []
-    marked = df.withColumn("__range", range_number(x, cuts, keys[0]))
-    values = F.struct(*[ctx.compile(k.expr).alias(f"k{i}") for i, k in enumerate(keys)])
-    dense = any(e.kind == "dense_rank" for e in wanted.values())
-    counts = marked.groupBy(F.col("__range").alias("__r")).agg(F.count(F.lit(1)).alias("__n"), (F.count_distinct(values) if dense else F.lit(0)).alias("__d"))
+    marked = df.withColumn("__range", range_number(x, cuts, first))
+    # equal rows of a dense rank count once
+    values = {f"__in_{c}": F.count_distinct(F.struct(*[ctx.compile(k.expr).alias(f"k{i}") for i, k in enumerate(e.fields["order_by"])])) for c, e in wanted.items() if e.kind == "dense_rank"}
+    counts = marked.groupBy(F.col("__range").alias("__r")).agg(F.count(F.lit(1)).alias("__in"), *[v.alias(c) for c, v in values.items()])
     earlier = W.orderBy("__r").rowsBetween(W.unboundedPreceding, -1)  # a row per range
-    before = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
-    counts = counts.select("__r", before("__n").alias("__before"), before("__d").alias("__dense"), F.sum("__n").over(W.partitionBy()).alias("__all"))
+    before = [F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c.replace("__in", "__before", 1)) for c in ("__in", *values)]
+    counts = counts.select("__r", *before, F.sum("__in").over(W.partitionBy()).alias("__all"))
     joined = marked.join(F.broadcast(counts), F.col("__range") == F.col("__r"))  # len(cuts) + 2 rows at most
-    over = W.partitionBy("__range").orderBy(*[order_column(ctx, k) for k in keys])
-    ranks = [_rank(e, over).alias(name) for name, e in wanted.items()]
+    ranks = [_rank(c, e, W.partitionBy("__range").orderBy(*[order_column(ctx, k) for k in e.fields["order_by"]])).alias(c) for c, e in wanted.items()]
     return joined.select(*df.columns, *ranks)
 
 
-def _rank(e: Expr, over) -> Column:
+def _rank(name: str, e: Expr, over: WindowSpec) -> Column:
     ahead, rows = F.col("__before"), F.col("__all")
     match e.kind:
         case "row_number":
@@ -75,7 +75,7 @@ def _rank(e: Expr, over) -> Column:
         case "rank":
             return ahead + F.rank().over(over)
         case "dense_rank":
-            return F.col("__dense") + F.dense_rank().over(over)
+            return F.col(f"__before_{name}") + F.dense_rank().over(over)
         case "percent_rank":
             return F.when(rows > 1, (ahead + F.rank().over(over) - 1) / (rows - 1)).otherwise(F.lit(0.0))
         case "cume_dist":

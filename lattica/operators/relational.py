@@ -84,10 +84,10 @@ class RelationCompiler:
         names = [*df.columns, *left]
         ctx = self.context(df)
         spread = {c: e for c, e in left.items() if self.options.spread_windows and can_spread(ctx, e)}
-        while spread:  # those with the same order go together
-            order = next(iter(spread.values())).fields["order_by"]
-            own = {c: e for c, e in spread.items() if e.fields["order_by"] == order}
-            df = add_ranks(self.context(df), order, own)
+        while spread:  # those whose orders begin alike go together
+            key = next(iter(spread.values())).fields["order_by"][0]
+            own = {c: e for c, e in spread.items() if e.fields["order_by"][0] == key}
+            df = add_ranks(self.context(df), key, own)
             spread = {c: e for c, e in spread.items() if c not in own}
             left = {c: e for c, e in left.items() if c not in own}
         ctx = self.context(df)
