@@ -23,6 +23,11 @@ from ..sources.catalog import Catalog
 from .ranges import add_ranks, can_spread
 
 INT_MAX = 2**31 - 1
+#: Aggregates whose state is a sketch or a list of values.  Beside a distinct count Spark holds
+#: one such state for every distinct value, in place of one a group.
+BULKY = frozenset({"median", "approx_percentile_cont", "approx_distinct", "array_agg", "string_agg"})
+#: Operations that may give other rows when they run again, by the order rows come in.
+UNSTEADY = frozenset({"GlobalLimit", "LocalLimit", "Offset", "Tail", "Sample", "Window"})
 
 
 @dataclass(frozen=True)
@@ -158,10 +163,16 @@ class RelationCompiler:
             grouped = plain.groupingSets([[names[i] for i in own] for own in r.grouping], *names)
         else:
             grouped = inner.df.groupBy(*keys)
-        if not keys and self.options.strict:
-            counted = grouped.agg(*aggregates, F.count(F.lit(1)).alias("__n"))
-            return Rows(counted.filter(F.col("__n") > 0).drop("__n"))
-        return Rows(by_place(grouped.agg(*aggregates)))
+        alone = not keys and self.options.strict
+        counted = [F.count(F.lit(1)).alias("__n")] if alone else []
+        distinct = [e.kind == "count" and bool(e.get("distinct")) for e in r.aggregates]
+        if any(distinct) and not r.grouping and not BULKY.isdisjoint(e.kind for e in r.aggregates) and is_steady(inner.df):
+            parts = [[a for a, d in zip(aggregates, distinct) if d], [a for a, d in zip(aggregates, distinct) if not d] + counted]
+            names = [f"col_{i}" for i in range(len(keys) + len(aggregates))]
+            df = put_together([grouped.agg(*p) for p in parts], names[: len(keys)]).select(*names, *["__n"] * alone)
+        else:
+            df = grouped.agg(*aggregates, *counted)
+        return Rows(df.filter(F.col("__n") > 0).drop("__n") if alone else by_place(df))
 
     def _same_width(self, parts: list[DataFrame]) -> None:
         widths = {len(p.columns) for p in parts}
@@ -176,6 +187,25 @@ class RelationCompiler:
         return Rows(reduce(DataFrame.union, parts))
 
 
+def is_steady(df: DataFrame) -> bool:
+    """Whether the rows are the same whenever they are read, as far as the plan tells."""
+    plan = df._jdf.queryExecution().analyzed()
+    left, names = [plan], set()
+    while left:
+        node = left.pop()
+        names.add(node.nodeName())
+        left += [node.children().apply(i) for i in range(node.children().size())]
+    return plan.deterministic() and UNSTEADY.isdisjoint(names)
+
+
+def put_together(parts: list[DataFrame], keys: list[str]) -> DataFrame:
+    """The columns of aggregates of one input by the same keys, each key once; a null key is a key."""
+    whole = [p.select(*keys, F.struct(*[c for c in p.columns if c not in keys]).alias(f"part_{i}")) for i, p in enumerate(parts)]
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), whole)
+    found = together.groupBy(*keys).agg(*[F.first(f"part_{i}", ignorenulls=True).alias(f"part_{i}") for i in range(len(parts))])
+    return found.select(*keys, *[f"part_{i}.*" for i in range(len(parts))])
+
+
 def compile_relation(relation: R.Relation | dict, catalog: Catalog, options: Options = Options()) -> DataFrame:
     """The lazy DataFrame of a relation; its columns are col_0, col_1, ..."""
     return RelationCompiler(catalog, options).compile(relation)

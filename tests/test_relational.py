@@ -255,6 +255,42 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     assert "NestedLoop" not in plan(compile_relation(join, c)) and "Cartesian" not in plan(compile_relation(join, c))
 
 
+def test_sketches_beside_distinct_counts(spark):
+    """One sketch or list a group, not one for each value that is counted; null keys, no rows."""
+    data = [(k, v, w) for k in (None, 1, 2) for v in (None, 5, 5, 7, 9) for w in (None, 1.0, 2.0, 4.0)] + [(3, None, None)]
+    c = Catalog(spark, {"t": spark.createDataFrame(data, "k int, v int, w double").repartition(3)})
+    t = scan("t", ["k", "v", "w"])
+    kinds = [call("count", col(1), True), call("median", col(2)), call("count"), call("count", col(2), True), call("approx_percentile_cont", col(2), percentile=0.9), call("approx_distinct", col(1)), call("array_agg", col(2), distinct=True, order_by=(asc(col(2)),))]
+    whole = (3, 2.0, 15 * 4 + 1, 3, 4.0, 3, [None, 1.0, 2.0, 4.0])
+    own = (3, 2.0, 20, 3, 4.0, 3, [None, 1.0, 2.0, 4.0])
+    grouped = compile_relation(t.aggregate([col(0)], kinds), c)
+    assert grouped.columns == [f"col_{i}" for i in range(8)]
+    assert sorted(map(tuple, grouped.collect()), key=str) == sorted([(None, *own), (1, *own), (2, *own), (3, 0, None, 1, 0, None, 0, [None])], key=str)
+    sketched = [step for step in plan(grouped).split("\n\n") if "Keys [" in step and ("percentile" in step or "collect_set" in step)]
+    assert sketched and all("Keys [1]" in step for step in sketched)
+    for strict in (False, True):
+        assert rows(c, t.aggregate([], kinds), strict=strict) == [(whole[0] + strict, *whole[1:3], whole[3] + strict, *whole[4:])]
+        assert rows(c, t.filter(gt(col(0), 3)).aggregate([], kinds), strict=strict) == ([] if strict else [(0, None, 0, 0, None, 0, [])])
+        assert rows(c, t.filter(gt(col(0), 3)).aggregate([col(0)], kinds), strict=strict) == []
+
+
+def test_rows_that_may_change_are_read_once(spark):
+    c = Catalog(spark, {"t": spark.range(1000).selectExpr("id % 10 AS k", "id AS v")})
+    t, kinds = scan("t", ["k", "v"]), [call("count", col(1), True), call("median", col(1))]
+    for r in (t.paginate(100), t.window(call("row_number", order_by=(asc(col(0)),))), t.filter(lt(call("random"), 0.5))):
+        compiled = compile_relation(r.aggregate([], kinds), c)
+        assert plan(compiled).count("Range (") == plan(compile_relation(r, c)).count("Range (")
+        assert compiled.count() == 1
+    assert rows(c, t.paginate(100).aggregate([], [call("count", col(1), True), call("array_agg", col(1))]))[0][0] == 100
+
+
+def test_approximate_distinct_counts_are_within_a_tenth(spark):
+    """Of groups of which sketches of 5 % miss two."""
+    df = spark.range(600_000).selectExpr("id div 3000 AS k", "id AS v")
+    found = rows(Catalog(spark, {"t": df}), scan("t", ["k", "v"]).aggregate([col(0)], [call("approx_distinct", col(1))]))
+    assert len(found) == 200 and [r for r in found if abs(r[1] - 3000) > 300] == []
+
+
 @pytest.mark.parametrize(("rows", "kind"), [(0, "int"), (1, "date"), (3, "double"), (400, "int"), (400, "double"), (400, "date"), (400, "decimal(12,2)")])
 def test_ranks_by_ranges(spark, rows, kind):
     """Ties, nulls on either side, a value that half of the rows have, more tiles than rows."""
